@@ -124,7 +124,7 @@ def _fallback(t):
     facts = t.customer.select("c_custkey", F.col("c_mktsegment").alias("kind"), F.col("c_nationkey").cast("string").alias("country"))
     dims = t.supplier.select(F.lit("BUILDING").alias("kind"), F.col("s_nationkey").cast("string").alias("country"), F.col("s_suppkey").alias("dim_id"))
     wild = t.region.select(F.lit("BUILDING").alias("kind"), F.lit("ZZ").alias("country"), (F.col("r_regionkey") + 100000).cast("bigint").alias("dim_id"))
-    return joins.fallback_join(facts, dims.unionByName(wild), ["kind"], "country", "ZZ", "c_custkey")
+    return joins.fallback_join(facts, dims.unionByName(wild), ["kind"], "country", "ZZ")
 
 
 add("J15_fallback", _fallback,

@@ -32,3 +32,12 @@ def hash_bucket(c, n: int = 100) -> Column:
 def url_param(c, name: str) -> Column:
     """Decoded value of one query parameter; NULL when absent or the URL is malformed."""
     return F.try_url_decode(F.try_parse_url(as_col(c), F.lit("QUERY"), F.lit(name)))
+
+
+def try_whole(c, kind: str = "bigint") -> Column:
+    """Text to a whole number, NULL otherwise.
+
+    The shape is tested first: a cast that fails raises and catches an exception for every row.
+    """
+    c = as_col(c)
+    return F.when(c.rlike(r"^\s*[+-]?\d{1,19}\s*$"), c.try_cast(kind))

@@ -52,8 +52,9 @@ def agg_joined(df: DataFrame, keys: list[str], col: str, sep: str, out: str, cou
         on = reduce(lambda a, b: a & b,
                     [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
         number = F.pmod(F.xxhash64(col, *order), F.coalesce(F.col("__parts"), F.lit(1))).cast("int")
-        rows = rows.join(big, on, "left").withColumn(part, number)
         grain.append(part)
+        # Shuffled by part as well: the join's partitioning alone would bring a big group together again.
+        rows = rows.join(big, on, "left").withColumn(part, number).repartition(*grain)
     times = F.col(repeat).cast("int") if repeat else F.lit(1)
     sorted_items = F.sort_array(F.collect_list(F.struct(
         *[F.col(o).alias(f"o{i}") for i, o in enumerate(order)],

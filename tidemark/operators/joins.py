@@ -118,22 +118,34 @@ def offset_join(fact: DataFrame, dim_hi: DataFrame, dim_lo: DataFrame, id_col: s
 def join_blank_as_null(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join on keys where NULL and '' are the same value."""
     marked = [f"__b{i}" for i in range(len(keys))]
-    l = left.withColumns({m: F.coalesce(F.col(k), F.lit("")) for m, k in zip(marked, keys)})
-    r = right.withColumns({m: F.coalesce(F.col(k), F.lit("")) for m, k in zip(marked, keys)}).drop(*keys)
+    blank = {m: F.coalesce(F.col(k), F.lit("")) for m, k in zip(marked, keys)}
+    l, r = left.withColumns(blank), right.withColumns(blank).drop(*keys)
     return l.join(r, marked, how).drop(*marked)
 
 
-def fallback_join(fact: DataFrame, dim: DataFrame, keys: list[str], exact: str, wildcard: str,
-                  id_col: str) -> DataFrame:
+def fallback_join(fact: DataFrame, dim: DataFrame, keys: list[str], exact: str, wildcard: str) -> DataFrame:
     """Match on keys and ``exact``; facts without such a match take the dimension's wildcard rows.
 
-    The dimension's own ``exact`` column is returned as ``dim_<exact>``.
+    Keys compare NULL and '' as equal. Whether an exact match exists is looked up first, and a single
+    join then uses either the fact's own value or the wildcard. The dimension's own column is
+    returned as ``dim_<exact>``.
     """
-    d = dim.withColumn(f"dim_{exact}", F.col(exact))
-    hit = join_blank_as_null(fact, d, [*keys, exact])
-    missed = anti_join(fact, hit, [id_col])
-    wild = join_blank_as_null(missed, d.filter(F.col(exact) == wildcard).drop(exact), keys)
-    return hit.unionByName(wild).distinct()
+    names = [f"__k{i}" for i in range(len(keys))]
+    blank = {m: F.coalesce(F.col(k), F.lit("")) if _is_text(dim, k) else F.col(k) for m, k in zip(names, keys)}
+    d = dim.withColumns(blank).drop(*keys).withColumnRenamed(exact, f"dim_{exact}")
+    known = d.select(*names, F.col(f"dim_{exact}").alias("__x")).distinct()
+    found = fact.withColumns(blank | {"__x": F.col(exact)}).join(
+        known.withColumn("__hit", F.lit(True)), [*names, "__x"], "left")
+    pick = F.when(F.col("__hit"), F.col("__x")).otherwise(F.lit(wildcard))
+    rows = found.withColumn("__pick", pick).drop("__x", "__hit")
+    on = reduce(lambda a, b: a & b, [F.col(f"f.{n}") == F.col(f"d.{n}") for n in names])
+    joined = rows.alias("f").join(d.alias("d"), on & (F.col("f.__pick") == F.col(f"d.dim_{exact}")))
+    out = [c for c in d.columns if c not in names]
+    return joined.select(*[F.col(f"f.{c}") for c in fact.columns], *[F.col(f"d.{c}") for c in out]).distinct()
+
+
+def _is_text(df: DataFrame, name: str) -> bool:
+    return df.schema[name].dataType.typeName() == "string"
 
 
 def resolve_identity(df: DataFrame, identity: DataFrame, id_col: str, profile: str = "profile_id") -> DataFrame:

@@ -1,10 +1,11 @@
 """Numbering, lag and running sums over keys that may be hot.
 
-A plain window puts a whole key into one task. Here each key is cut into ordered buckets
-(days of the ordering timestamp, or quantile ranges of an ordering number); the window runs per
-(key, bucket), and what one bucket needs from the earlier ones (a count, a sum, a last value) is
-taken from a summary with one row per (key, bucket). The result is exact: buckets never overlap in
-the order. ``bucket=False`` uses the plain window, for groups known to be small.
+A plain window puts a whole key into one task. Here each key is cut into ordered buckets (equal
+ranges of the first ordering column); the window runs per (key, bucket), and what one bucket needs
+from the earlier ones (a count, a sum, a last value) is taken from a summary with one row per
+(key, bucket). The result is exact: buckets never overlap in the order. ``bucket`` may be given as
+any column that never decreases along the order; ``bucket=False`` uses the plain window, for groups
+known to be small.
 """
 
 from __future__ import annotations
@@ -12,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
-RANGES = 32
-_B = "__bucket"
+RANGES = 64
+_G = "__group"
 
 
 def order_columns(order: list) -> list[Column]:
@@ -29,83 +30,98 @@ def _direction(name: str, way: str) -> Column:
     return F.col(name).desc() if way == "desc" else F.col(name).asc()
 
 
-def default_bucket(df: DataFrame, order: list) -> Column | None:
-    """A value that never decreases along the first ordering column."""
+def default_bucket(df: DataFrame, order: list, bounds: DataFrame | None = None) -> Column | None:
+    """A value that never decreases along the first ordering column; None for text."""
     name, _ = _pair(order[0])
     kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.date_trunc("day", F.col(name))
-    if isinstance(kind, T.NumericType):
-        return value_range(df, name)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType, T.NumericType)):
+        return value_range(df, name, bounds)
     return None
 
 
-def value_range(df: DataFrame, name: str, ranges: int = RANGES) -> Column:
-    """Range number of a value between approximate quantiles of the whole column.
+def value_range(df: DataFrame, name: str, bounds: DataFrame | None = None) -> Column:
+    """Number of the equal-width range a value falls into, between the column's extremes.
 
-    The quantiles only place the cuts; any monotone cut gives exact results.
+    There are as many ranges as shuffle partitions, so a key that holds a third of all rows is spread
+    over about as many tasks. The extremes are one aggregate over one column; ``bounds`` names a
+    cheaper frame with the same extremes, such as the input of a distinct. NULL joins the lowest
+    range, where it sorts anyway.
     """
-    points = [i / ranges for i in range(1, ranges)]
-    cuts = df.agg(F.percentile_approx(name, points, 1000)).scalar()
-    steps = [F.when(F.col(name) > F.get(cuts, F.lit(i)), 1).otherwise(0) for i in range(ranges - 1)]
-    total = steps[0]
-    for s in steps[1:]:
-        total = total + s
-    return total
+    ranges = max(RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    x = _as_number(df.schema[name].dataType, name)
+    low, high = F.min(x), F.max(x)
+    span = (bounds if bounds is not None else df).agg(
+        F.struct(low.alias("low"), (F.lit(ranges) / F.nullif(high - low, F.lit(0.0))).alias("scale"))).scalar()
+    place = (x - F.lit(span)["low"]) * F.lit(span)["scale"]
+    return F.coalesce(F.floor(place), F.lit(0)).cast("int")
 
 
-def _with_bucket(df: DataFrame, order: list, bucket) -> DataFrame:
-    if bucket is False:
-        return df.withColumn(_B, F.lit(0))
-    expr = default_bucket(df, order) if bucket is None else bucket
-    return df.withColumn(_B, F.lit(0) if expr is None else expr)
+def _as_number(kind: T.DataType, name: str) -> Column:
+    if isinstance(kind, T.NumericType):
+        return F.col(name).cast("double")
+    return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
 
 
-def _bucket_order(order: list) -> Column:
-    return _direction(_B, _pair(order[0])[1])
+def _with_group(df: DataFrame, part: list[str], bucket: Column) -> DataFrame:
+    """Add the (key, bucket) of a row as one struct.
 
+    Structs compare NULL fields as equal, as a window does, and the window, the summary and the join
+    between them then share a single hash partitioning.
+    """
+    return df.withColumn(_G, F.struct(*[F.col(p).alias(f"p{i}") for i, p in enumerate(part)], bucket.alias("b")))
 
-def _attach(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
-    """Add the summary's columns to the rows; NULL is a key of its own, as in a window."""
-    renamed = summary.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-                             *[c for c in summary.columns if c not in keys])
-    on = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
-    return rows.join(renamed, on, "inner").drop(*[f"__k{i}" for i in range(len(keys))])
 
+def _cut(df: DataFrame, order: list, bucket, bounds: DataFrame | None = None) -> Column | None:
+    """The bucket column, or None for a single bucket."""
+    if bucket is False:
+        return None
+    return default_bucket(df, order, bounds) if bucket is None else bucket
 
-def _before(part: list[str], order: list):
-    return (Window.partitionBy(*part).orderBy(_bucket_order(order))
-            .rowsBetween(Window.unboundedPreceding, -1))
 
+def _attach(rows: DataFrame, summary: DataFrame) -> DataFrame:
+    """Add a summary's columns to the rows of its group."""
+    return rows.join(summary.withColumnRenamed(_G, "__g2"), F.col(_G) == F.col("__g2")).drop("__g2")
 
-def _single_bucket(df: DataFrame, order: list, bucket) -> bool:
-    return bucket is False or (bucket is None and default_bucket(df, order) is None)
+
+def _by_bucket(part: list[str], order: list):
+    """Summary rows of one key, in the order of their buckets."""
+    keys = [F.col(f"{_G}.p{i}") for i in range(len(part))]
+    b = F.col(f"{_G}.b")
+    return Window.partitionBy(*keys).orderBy(b.desc() if _pair(order[0])[1] == "desc" else b.asc())
+
+
+def _before(part: list[str], order: list):
+    return _by_bucket(part, order).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def running_sum(df: DataFrame, col: str, part: list[str], order: list, out: str,
                 bucket=None) -> DataFrame:
     """Sum of all rows of the key up to and including this one."""
-    upto = Window.partitionBy(*part, _B).orderBy(*order_columns(order)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    rows = _with_bucket(df, order, bucket)
-    inner = rows.withColumn(out, F.sum(col).over(upto))
-    if _single_bucket(df, order, bucket):
-        return inner.drop(_B)
-    totals = rows.groupBy(*part, _B).agg(F.sum(col).alias("__total"))
-    offsets = totals.withColumn("__offset", F.sum("__total").over(_before(part, order))).drop("__total")
-    joined = _attach(inner, offsets, [*part, _B])
-    zero = F.lit(0)
-    both = F.coalesce(F.col(out), zero) + F.coalesce(F.col("__offset"), zero)
-    known = F.col(out).isNotNull() | F.col("__offset").isNotNull()
-    return joined.withColumn(out, F.when(known, both)).drop("__offset", _B)
+    return running_sums(df, col, {out: part}, order, bucket)
 
 
 def running_sums(df: DataFrame, col: str, grains: dict[str, list[str]], order: list,
                  bucket=None) -> DataFrame:
-    """Several running sums of one measure; ``grains`` is output name -> key columns."""
+    """Several running sums of one measure; ``grains`` is output name -> key columns.
+
+    Every grain's offsets come from the input itself, so more grains do not nest.
+    """
+    cut, result = _cut(df, order, bucket), df
     for out, part in grains.items():
-        df = running_sum(df, col, part, order, out, bucket)
-    return df
+        if cut is None:
+            upto = Window.partitionBy(*part).orderBy(*order_columns(order)).rowsBetween(
+                Window.unboundedPreceding, Window.currentRow)
+            result = result.withColumn(out, F.sum(col).over(upto))
+            continue
+        upto = Window.partitionBy(_G).orderBy(*order_columns(order)).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        rows = _with_group(result, part, cut).withColumn(out, F.sum(col).over(upto))
+        totals = _with_group(df, part, cut).groupBy(_G).agg(F.sum(col).alias("__total"))
+        offsets = totals.select(_G, F.sum("__total").over(_before(part, order)).alias("__offset"))
+        both = F.coalesce(F.col(out), F.lit(0)) + F.coalesce(F.col("__offset"), F.lit(0))
+        known = F.col(out).isNotNull() | F.col("__offset").isNotNull()
+        result = _attach(rows, offsets).withColumn(out, F.when(known, both)).drop("__offset", _G)
+    return result
 
 
 def add_row_number(df: DataFrame, part: list[str], order: list, out: str = "row_num",
@@ -119,63 +135,57 @@ def add_rank(df: DataFrame, part: list[str], order: list, out: str = "rank", buc
 
 
 def _number(df, part, order, out, bucket, function) -> DataFrame:
-    rows = _with_bucket(df, order, bucket)
-    inner = rows.withColumn(
-        out, function.over(Window.partitionBy(*part, _B).orderBy(*order_columns(order))))
-    if _single_bucket(df, order, bucket):
-        return inner.drop(_B)
-    counts = rows.groupBy(*part, _B).agg(F.count("*").alias("__n"))
-    offsets = counts.withColumn(
-        "__offset", F.coalesce(F.sum("__n").over(_before(part, order)), F.lit(0))).drop("__n")
-    joined = _attach(inner, offsets, [*part, _B])
-    return joined.withColumn(out, (F.col(out) + F.col("__offset")).cast("bigint")).drop("__offset", _B)
+    cut = _cut(df, order, bucket)
+    if cut is None:
+        return df.withColumn(out, function.over(Window.partitionBy(*part).orderBy(*order_columns(order))))
+    grouped = _with_group(df, part, cut)
+    rows = grouped.withColumn(out, function.over(Window.partitionBy(_G).orderBy(*order_columns(order))))
+    counts = grouped.groupBy(_G).agg(F.count("*").alias("__n"))
+    offsets = counts.select(_G, F.coalesce(F.sum("__n").over(_before(part, order)), F.lit(0)).alias("__offset"))
+    joined = _attach(rows, offsets)
+    return joined.withColumn(out, (F.col(out) + F.col("__offset")).cast("bigint")).drop("__offset", _G)
 
 
 def add_lag(df: DataFrame, col: str, part: list[str], order: list, out: str, bucket=None) -> DataFrame:
     """Previous row's value; the first row of a bucket takes the last one of the bucket before."""
-    window = Window.partitionBy(*part, _B).orderBy(*order_columns(order))
-    rows = _with_bucket(df, order, bucket).withColumns({
-        out: F.lag(col).over(window), "__n": F.row_number().over(window)})
-    if _single_bucket(df, order, bucket):
-        return rows.drop(_B, "__n")
-    last = rows.groupBy(*part, _B).agg(F.max_by(F.struct(col), "__n").alias("__last"))
-    heads = last.withColumn(
-        "__head", F.lag("__last").over(Window.partitionBy(*part).orderBy(_bucket_order(order)))
-    ).drop("__last")
-    joined = _attach(rows, heads, [*part, _B])
+    cut = _cut(df, order, bucket)
+    if cut is None:
+        return df.withColumn(out, F.lag(col).over(Window.partitionBy(*part).orderBy(*order_columns(order))))
+    window = Window.partitionBy(_G).orderBy(*order_columns(order))
+    rows = _with_group(df, part, cut).withColumns({out: F.lag(col).over(window), "__n": F.row_number().over(window)})
+    last = rows.groupBy(_G).agg(F.max_by(F.struct(col), "__n").alias("__last"))
+    heads = last.select(_G, F.lag("__last").over(_by_bucket(part, order)).alias("__head"))
     value = F.when(F.col("__n") == 1, F.col(f"__head.{col}")).otherwise(F.col(out))
-    return joined.withColumn(out, value).drop("__head", "__n", _B)
+    return _attach(rows, heads).withColumn(out, value).drop("__head", "__n", _G)
 
 
 def sessionize(df: DataFrame, keys: list[str], col: str, gap_seconds: int, out: str = "session_id",
-               bucket=None) -> DataFrame:
+               bucket=None, bounds: DataFrame | None = None) -> DataFrame:
     """Number sessions per key; a gap of exactly ``gap_seconds`` stays in one session.
 
-    Whole seconds are compared. One pass per (key, day), one summary row per (key, day).
+    Whole seconds are compared. The summary has one row per key and time range.
     """
     def opens(previous: Column, current: Column) -> Column:
         gap = _second(current) - _second(previous)
         return F.when(previous.isNull(), 1).when(gap > gap_seconds, 1).otherwise(0)
 
     order = [col]
-    rows = _with_bucket(df, order, bucket)
-    window = Window.partitionBy(*keys, _B).orderBy(col)
+    cut = _cut(df, order, bucket, bounds)
+    grouped = _with_group(df, keys, F.lit(0) if cut is None else cut)
+    window = Window.partitionBy(_G).orderBy(col)
     previous = F.lag(col).over(window)
-    marked = rows.withColumn("__new", F.when(previous.isNull(), 0).otherwise(opens(previous, F.col(col))))
+    marked = grouped.withColumn("__new", F.when(previous.isNull(), 0).otherwise(opens(previous, F.col(col))))
     numbered = marked.withColumn(
         "__local", F.sum("__new").over(window.rowsBetween(Window.unboundedPreceding, 0)))
-    days = numbered.groupBy(*keys, _B).agg(
+    days = numbered.groupBy(_G).agg(
         F.min(col).alias("__first"), F.max(col).alias("__last"), F.max("__local").alias("__more"))
-    by_day = Window.partitionBy(*keys).orderBy(_B)
+    by_day = _by_bucket(keys, order)
     heads = days.withColumn("__head", opens(F.lag("__last").over(by_day), F.col("__first")))
-    offsets = heads.withColumn(
-        "__offset",
-        F.coalesce(F.sum(F.col("__more") + F.col("__head")).over(
-            by_day.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("__head"),
-    ).select(*keys, _B, "__offset")
-    joined = _attach(numbered, offsets, [*keys, _B])
+    earlier = F.sum(F.col("__more") + F.col("__head")).over(_before(keys, order))
+    offsets = heads.select(_G, (F.coalesce(earlier, F.lit(0)) + F.col("__head")).alias("__offset"))
+    joined = _attach(numbered, offsets)
     return joined.withColumn(out, (F.col("__offset") + F.col("__local")).cast("bigint")).drop(
-        "__offset", "__local", "__new", _B)
+        "__offset", "__local", "__new", _G)
 
 
 def _second(c: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.nested import is_json, json_value, key_numbers, shred_json, try_json_map
-from tidemark.functions.text import split_part_or_null
+from tidemark.functions.text import split_part_or_null, try_whole
 from tidemark.functions.times import NTZ, business_day, diff_complete, epoch_to_ts, trunc_ts
 from tidemark.operators.aggregates import merge_measures
 from tidemark.operators.joins import enrich, fallback_join, union_all
@@ -105,8 +105,8 @@ def map_network_reports(reports: DataFrame, configs: DataFrame) -> DataFrame:
     Configs without app and placement are not used; the first target unit is the unit.
     """
     usable = configs.filter(~((F.col("app_id") == "") & (F.col("placement_id") == "")))
-    usable = usable.withColumn("unit_id", split_part_or_null("target_unit", ",", 1).try_cast("bigint")).drop("target_unit")
-    return fallback_join(reports, usable, ["adnetwork_id", "app_id", "placement_id"], "country", "ZZ", "report_id")
+    usable = usable.withColumn("unit_id", try_whole(split_part_or_null("target_unit", ",", 1))).drop("target_unit")
+    return fallback_join(reports, usable, ["adnetwork_id", "app_id", "placement_id"], "country", "ZZ")
 
 
 def export_activity(ad_events: list[tuple[str, DataFrame]], content_events: list[tuple[str, DataFrame]],

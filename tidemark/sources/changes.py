@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.functions.text import try_whole
 from tidemark.functions.times import epoch_to_ts
 
 
@@ -22,7 +23,7 @@ def _field(image: str, path: str, kind: str, extra=None) -> Column:
     if kind == "epoch":
         return epoch_to_ts(raw.cast("bigint"))
     if kind == "try_int":
-        return F.coalesce(raw.try_cast("int"), F.lit(extra))
+        return F.coalesce(try_whole(raw, "int"), F.lit(extra))
     if kind == "lower":
         return F.lower(raw)
     if kind == "json":
