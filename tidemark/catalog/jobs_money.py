@@ -220,11 +220,9 @@ memo, 'orders' AS data_source FROM orders LEFT JOIN a ON l_orderkey = o_orderkey
 UNION ALL SELECT c_custkey, TIMESTAMP '2020-01-01', CAST(CAST(c_acctbal AS DECIMAL(27,9)) AS DOUBLE), CAST(0 AS DOUBLE), 'X', NULL, 'customers' FROM customer""")
 
 # Settlement. Formulas read the summed row and the contract's rates.
-FEE = 1 - F.col("agency_fee")
-
 
 def rules() -> list[m.PayoutRule]:
-    display, action = F.col("display_revenue") * FEE, F.col("action_unit_revenue")
+    display, action = F.col("display_revenue") * (1 - F.col("agency_fee")), F.col("action_unit_revenue")
     cost, share = F.col("display_cost") + F.col("base_reward_cost"), F.col("share_rate")
     return [
         m.PayoutRule("PARTNER_A", "first", F.lit(0), F.lit(0), F.col("display_cost"), F.col("action_cost")),

@@ -26,8 +26,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str = "8", partitions: int = 8, app: str = "tidemark") -> SparkSession:
-    """Single-JVM session for tests and the local benchmark."""
+def local_session(cores: str = "8", partitions: int = 8, app: str = "tidemark",
+                  scratch: str | None = None) -> SparkSession:
+    """Single-JVM session for tests and the local benchmark; ``scratch`` holds its temporary tables."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -36,6 +37,8 @@ def local_session(cores: str = "8", partitions: int = 8, app: str = "tidemark")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if scratch:
+        builder = builder.config("spark.checkpoint.dir", scratch)
     spark = configure(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
