@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.catalog.base import ACTIONS, ITEMS, add
-from tidemark.functions.numbers import money, safe_ratio
+from tidemark.functions.numbers import int_div, money, safe_ratio
 from tidemark.operators import aggregates as agg
 from tidemark.operators.dedup import distinct
 
@@ -78,7 +78,7 @@ def _ratios(t):
     counts = t.actions.groupBy("lineitem_id").agg(F.count_if(F.col("event_type") == "view").alias("imps"),
                                                   F.count_if(F.col("event_type") == "click").alias("clicks"))
     return counts.select("lineitem_id", safe_ratio("clicks", "imps", 2, pct=True).alias("ctr"),
-                         F.expr("CASE WHEN imps = 0 THEN 0 ELSE clicks div imps END").alias("whole"))
+                         int_div("clicks", "imps").alias("whole"))
 
 
 add("A13_ratio", _ratios,

@@ -147,7 +147,7 @@ SELECT lineitem_id, CAST(NULL AS BIGINT) AS content_id, CAST(NULL AS BIGINT) AS
 CASE event_type WHEN 'view' THEN 'impression' ELSE 'click' END AS event, ifa AS idfa, 'KR' AS country, 1990 AS year_of_birth, 'F' AS gender, time AS created_at FROM a WHERE event_type IN ('view', 'click')
 UNION ALL SELECT NULL, lineitem_id, CAST(p_size AS BIGINT), p_partkey, p_name, CASE event_type WHEN 'signup' THEN 'impression' ELSE 'click' END, ifa, 'KR', 1990, 'F', time
 FROM a JOIN part ON p_partkey = lineitem_id WHERE event_type IN ('signup', 'purchase')""")
-add("B37_shred_service_logs", lambda t: marts.shred_service_logs(service_logs(t)), SERVICE_SQL.format(more=", date_trunc('second', ts) AS log_timestamp"))
+add("B37_shred_service_logs", lambda t: marts.shred_service_logs(service_logs(t)), SERVICE_SQL.format(more=", CAST(date_trunc('day', ts) AS TIMESTAMP) + CASE WHEN hour(ts) < 12 THEN INTERVAL 0 HOUR ELSE INTERVAL 12 HOUR END AS log_timestamp"))
 
 
 def _unit_lineitem(t):

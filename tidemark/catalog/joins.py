@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tidemark.catalog.base import ACTIONS, ITEMS, UNITS, add
 from tidemark.functions.nested import explode_list
 from tidemark.functions.numbers import money
-from tidemark.functions.times import ts
 from tidemark.operators import joins
 
 C = ["c_custkey", "c_nationkey"]

@@ -10,7 +10,6 @@ from tidemark.catalog.base import add
 from tidemark.functions.numbers import money
 from tidemark.functions.times import ts
 from tidemark.operators import dedup, merges
-from tidemark.operators.joins import union_all
 
 # Load modes: the target holds orders before 1999, the source those from 1998 on, with a higher price.
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "price", "o_orderdate"]

@@ -113,11 +113,12 @@ add("K08_jdbc_rows", lambda t: unload.jdbc_rows(source(t), ["o_orderkey", "price
 
 
 def service_logs(t):
-    """Cluster log lines: JSON text, except for errors."""
+    """Cluster log lines: JSON text, except for errors. Their time is the half day of the event, as
+    every hour and service becomes a folder."""
     body = F.to_json(F.struct("event_id", "user_id", "event_type"))
     return t.events.select(
         F.when(F.col("event_type") == "error", "plain text").otherwise(body).alias("log"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("time"),
+        F.concat(F.date_format("ts", "yyyy-MM-dd"), F.when(F.hour("ts") < 12, " 00:00:00").otherwise(" 12:00:00")).alias("time"),
         F.create_map(F.lit("namespace_name"), F.when(F.col("event_type") == "view", "front").otherwise("back")).alias("kubernetes"))
 
 
@@ -129,7 +130,7 @@ def _service_logs(t):
 
 
 SERVICE_SQL = ("SELECT event_id, user_id, event_type, CASE event_type WHEN 'view' THEN 'front' ELSE 'back' END AS service, "
-               "strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour, "
+               "strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day, CASE WHEN hour(ts) < 12 THEN '00' ELSE '12' END AS hour, "
                "'general' AS log_type{more} FROM events WHERE event_type <> 'error'")
 add("K09_service_logs", _service_logs, SERVICE_SQL.format(more=""))
 add("K10_retention", lambda t: retention.expirable_slots(t.actions, "2024-01-20 00:00:00", 48),

@@ -33,10 +33,9 @@ def safe_ratio(num, den, scale: int | None = None, pct: bool = False) -> Column:
 
 
 def int_div(num, den) -> Column:
-    """Truncating division of whole numbers, 0 where the denominator is 0."""
-    num, den = as_col(num), as_col(den)
-    whole = (num - num % F.nullif(den, F.lit(0))) / F.nullif(den, F.lit(0))
-    return F.coalesce(whole, F.lit(0)).cast("bigint")
+    """Truncating division of whole numbers, 0 where the denominator is 0 or missing."""
+    whole = F.call_function("div", as_col(num), F.nullif(as_col(den), F.lit(0)))
+    return F.coalesce(whole, F.lit(0))
 
 
 def clean_sex(c) -> Column:

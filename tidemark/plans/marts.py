@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.nested import is_json, json_value, key_numbers, shred_json, try_json_map
+from tidemark.functions.nested import json_value, key_numbers, shred_json, try_json_map
 from tidemark.functions.text import split_part_or_null, try_whole
 from tidemark.functions.times import NTZ, business_day, diff_complete, epoch_to_ts, trunc_ts
 from tidemark.operators.aggregates import merge_measures

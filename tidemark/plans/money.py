@@ -6,11 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.numbers import money, safe_ratio
-from tidemark.functions.times import business_day, shift_ts, trunc_ts, ts
+from tidemark.functions.numbers import int_div, money, safe_ratio
+from tidemark.functions.times import business_day, trunc_ts, ts
 from tidemark.operators.aggregates import agg_list_distinct, conditional_agg, merge_measures
 from tidemark.operators.joins import attribute, enrich, lookback_join, offset_join, union_all
-from tidemark.operators.ordered import running_sum, top_n
+from tidemark.operators.ordered import running_sum
 
 OFFSET = 10**9
 
@@ -181,7 +181,7 @@ def efficiency(stats: DataFrame, events: DataFrame, clicks: DataFrame, lineitems
         "date_at", "unit_id", "unit_name", "lineitem_id", F.col("item_name").alias("lineitem_name"), "ad_group_id",
         "imps", "clicks", "ctr", "spent_budget", n.alias("event_count"),
         safe_ratio("spent_budget", n).alias("cost_per_event"),
-        F.when(F.col("clicks") > 0, F.expr("coalesce(event_count, 0) div clicks")).otherwise(0).alias("event_over_clicks"),
+        int_div(n, "clicks").alias("event_over_clicks"),
         F.coalesce("revenue", F.lit(0)).alias("purchase_revenue"),
         F.when(F.col("spent_budget") > 0, F.round(F.col("revenue") * 100 / F.col("spent_budget"), 2))
         .otherwise(0).alias("roas"))

@@ -22,18 +22,20 @@ class Written:
 
 
 def write_slot(df: DataFrame, path: str, at, fmt: str = "parquet", on_empty: str = "keep",
-               bucket_by: str | None = None, buckets: int = 10) -> Written:
+               bucket_by: str | None = None, buckets: int = 10, spread: int = 1) -> Written:
     """Replace one slot; running it again gives the same files' worth of rows.
 
     Rows are counted while they are written. An empty result is kept, skipped or an error
-    (``on_empty`` = keep | skip | fail). ``bucket_by`` writes one file per hash bucket.
+    (``on_empty`` = keep | skip | fail). ``bucket_by`` writes one file per hash bucket, or ``spread``
+    files for each when single values hold a large share of the rows.
     """
     kind, options = FORMATS[fmt]
     target = f"{path.rstrip('/')}/{slot_dir(at)}"
     counted = Observation(f"slot {at}")
     rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
     if bucket_by:
-        rows = rows.repartition(buckets, bucket_by)
+        salt = [F.pmod(F.xxhash64(*df.columns), F.lit(spread))] if spread > 1 else []
+        rows = rows.repartition(buckets * spread, bucket_by, *salt)
     rows.write.format(kind).options(**options).mode("overwrite").save(target)
     n = counted.get["rows"]
     if n == 0 and on_empty == "fail":
