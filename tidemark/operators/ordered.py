@@ -1,11 +1,12 @@
 """Numbering, lag and running sums over keys that may be hot.
 
-A plain window puts a whole key into one task. Here each key is cut into ordered buckets (equal
-ranges of the first ordering column); the window runs per (key, bucket), and what one bucket needs
-from the earlier ones (a count, a sum, a last value) is taken from a summary with one row per
-(key, bucket). The result is exact: buckets never overlap in the order. ``bucket`` may be given as
-any column that never decreases along the order; ``bucket=False`` uses the plain window, for groups
-known to be small.
+A plain window puts a whole key into one task. Here the keys that hold a large share of all rows are
+cut into ordered buckets (equal ranges of the first ordering column); the window runs per (key,
+bucket), and what one bucket needs from the earlier ones (a count, a sum, a last value) is taken from
+a summary with one row per (hot key, bucket). Other keys stay whole, in one bucket. The result is
+exact: buckets never overlap in the order. ``bucket`` may be given as any column that never decreases
+along the order, and then cuts every key; ``bucket=False`` uses the plain window, for groups known to
+be small.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 RANGES = 64
-_G = "__group"
+_B, _CUT = "__bucket", "__cut"
 
 
 def order_columns(order: list) -> list[Column]:
@@ -30,15 +31,6 @@ def _direction(name: str, way: str) -> Column:
     return F.col(name).desc() if way == "desc" else F.col(name).asc()
 
 
-def default_bucket(df: DataFrame, order: list, bounds: DataFrame | None = None) -> Column | None:
-    """A value that never decreases along the first ordering column; None for text."""
-    name, _ = _pair(order[0])
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType, T.NumericType)):
-        return value_range(df, name, bounds)
-    return None
-
-
 def value_range(df: DataFrame, name: str, bounds: DataFrame | None = None) -> Column:
     """Number of the equal-width range a value falls into, between the column's extremes.
 
@@ -47,7 +39,7 @@ def value_range(df: DataFrame, name: str, bounds: DataFrame | None = None) -> Co
     cheaper frame with the same extremes, such as the input of a distinct. NULL joins the lowest
     range, where it sorts anyway.
     """
-    ranges = max(RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranges = _ranges(df)
     x = _as_number(df.schema[name].dataType, name)
     low, high = F.min(x), F.max(x)
     span = (bounds if bounds is not None else df).agg(
@@ -62,32 +54,73 @@ def _as_number(kind: T.DataType, name: str) -> Column:
     return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
 
 
-def _with_group(df: DataFrame, part: list[str], bucket: Column) -> DataFrame:
-    """Add the (key, bucket) of a row as one struct.
+def _ranges(df: DataFrame) -> int:
+    return max(RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-    Structs compare NULL fields as equal, as a window does, and the window, the summary and the join
-    between them then share a single hash partitioning.
-    """
-    return df.withColumn(_G, F.struct(*[F.col(p).alias(f"p{i}") for i, p in enumerate(part)], bucket.alias("b")))
 
+def _grouped(df: DataFrame, part: list[str], order: list, bucket, bounds: DataFrame | None = None) -> DataFrame | None:
+    """Add the columns of a row's (key, bucket) and whether its key is cut; None for a plain window.
 
-def _cut(df: DataFrame, order: list, bucket, bounds: DataFrame | None = None) -> Column | None:
-    """The bucket column, or None for a single bucket."""
-    if bucket is False:
+    Each key column becomes a filled value and a NULL flag. Plain equality then treats NULL as a key,
+    as a window does, and the window, the summary and the join between them share one partitioning.
+    """
+    name, _ = _pair(order[0])
+    kinds = (T.TimestampType, T.TimestampNTZType, T.DateType, T.NumericType)
+    if bucket is False or (bucket is None and not isinstance(df.schema[name].dataType, kinds)):
         return None
-    return default_bucket(df, order, bounds) if bucket is None else bucket
+    cut, rows = F.lit(True), df
+    if bucket is None:
+        bucket = value_range(df, name, bounds)
+        if part:
+            rows = _mark_hot(df, part)
+            cut = F.coalesce(F.col(_CUT), F.lit(False))
+            bucket = F.when(cut, bucket).otherwise(F.lit(0))
+    keys = {f"__g{i}": _filled(df, p) for i, p in enumerate(part)}
+    flags = {f"__f{i}": F.isnull(p) for i, p in enumerate(part)}
+    return rows.withColumns({_CUT: cut, _B: bucket} | keys | flags)
+
+
+def _filled(df: DataFrame, name: str) -> Column:
+    kind = df.schema[name].dataType
+    for types, value in ((T.NumericType, 0), (T.StringType, ""), (T.BooleanType, False),
+                         ((T.DateType, T.TimestampType, T.TimestampNTZType), "1970-01-01")):
+        if isinstance(kind, types):
+            return F.coalesce(F.col(name), F.lit(value).cast(kind))
+    return F.struct(name)
+
+
+def _key(part: list[str]) -> list[str]:
+    return [f"__{c}{i}" for i in range(len(part)) for c in "gf"]
+
+
+def _group(part: list[str]) -> list[str]:
+    return [*_key(part), _B]
+
+
+def _mark_hot(df: DataFrame, part: list[str]) -> DataFrame:
+    """Flag the rows of keys that hold more than one n-th of all rows.
+
+    There are fewer than n such keys, n being the number of shuffle partitions (64 at least), so the
+    broadcast is bounded whatever the data.
+    """
+    counts = df.groupBy(*part).agg(F.count("*").alias("__n"))
+    total = counts.agg(F.sum("__n")).scalar()
+    hot = counts.filter(F.col("__n") * _ranges(df) > total).select(
+        *[F.col(p).alias(f"__h{i}") for i, p in enumerate(part)], F.lit(True).alias(_CUT))
+    same = F.lit(True)
+    for i, p in enumerate(part):
+        same = same & F.col(p).eqNullSafe(F.col(f"__h{i}"))
+    return df.join(F.broadcast(hot), same, "left").drop(*[f"__h{i}" for i in range(len(part))])
 
 
-def _attach(rows: DataFrame, summary: DataFrame) -> DataFrame:
-    """Add a summary's columns to the rows of its group."""
-    return rows.join(summary.withColumnRenamed(_G, "__g2"), F.col(_G) == F.col("__g2")).drop("__g2")
+def _attach(rows: DataFrame, summary: DataFrame, part: list[str]) -> DataFrame:
+    """Add a summary's columns to the rows of its group; keys that are not cut have none."""
+    return rows.join(summary, _group(part), "left")
 
 
 def _by_bucket(part: list[str], order: list):
     """Summary rows of one key, in the order of their buckets."""
-    keys = [F.col(f"{_G}.p{i}") for i in range(len(part))]
-    b = F.col(f"{_G}.b")
-    return Window.partitionBy(*keys).orderBy(b.desc() if _pair(order[0])[1] == "desc" else b.asc())
+    return Window.partitionBy(*_key(part)).orderBy(_direction(_B, _pair(order[0])[1]))
 
 
 def _before(part: list[str], order: list):
@@ -106,21 +139,23 @@ def running_sums(df: DataFrame, col: str, grains: dict[str, list[str]], order: l
 
     Every grain's offsets come from the input itself, so more grains do not nest.
     """
-    cut, result = _cut(df, order, bucket), df
+    result = df
     for out, part in grains.items():
-        if cut is None:
+        grouped = _grouped(df, part, order, bucket)
+        if grouped is None:
             upto = Window.partitionBy(*part).orderBy(*order_columns(order)).rowsBetween(
                 Window.unboundedPreceding, Window.currentRow)
             result = result.withColumn(out, F.sum(col).over(upto))
             continue
-        upto = Window.partitionBy(_G).orderBy(*order_columns(order)).rowsBetween(
+        upto = Window.partitionBy(*_group(part)).orderBy(*order_columns(order)).rowsBetween(
             Window.unboundedPreceding, Window.currentRow)
-        rows = _with_group(result, part, cut).withColumn(out, F.sum(col).over(upto))
-        totals = _with_group(df, part, cut).groupBy(_G).agg(F.sum(col).alias("__total"))
-        offsets = totals.select(_G, F.sum("__total").over(_before(part, order)).alias("__offset"))
+        source = grouped if result is df else _grouped(result, part, order, bucket, df)
+        rows = source.withColumn(out, F.sum(col).over(upto))
+        totals = grouped.filter(_CUT).groupBy(*_group(part)).agg(F.sum(col).alias("__total"))
+        offsets = totals.select(*_group(part), F.sum("__total").over(_before(part, order)).alias("__offset"))
         both = F.coalesce(F.col(out), F.lit(0)) + F.coalesce(F.col("__offset"), F.lit(0))
         known = F.col(out).isNotNull() | F.col("__offset").isNotNull()
-        result = _attach(rows, offsets).withColumn(out, F.when(known, both)).drop("__offset", _G)
+        result = _attach(rows, offsets, part).withColumn(out, F.when(known, both)).drop("__offset", *_group(part), _CUT)
     return result
 
 
@@ -135,57 +170,54 @@ def add_rank(df: DataFrame, part: list[str], order: list, out: str = "rank", buc
 
 
 def _number(df, part, order, out, bucket, function) -> DataFrame:
-    cut = _cut(df, order, bucket)
-    if cut is None:
+    grouped = _grouped(df, part, order, bucket)
+    if grouped is None:
         return df.withColumn(out, function.over(Window.partitionBy(*part).orderBy(*order_columns(order))))
-    grouped = _with_group(df, part, cut)
-    rows = grouped.withColumn(out, function.over(Window.partitionBy(_G).orderBy(*order_columns(order))))
-    counts = grouped.groupBy(_G).agg(F.count("*").alias("__n"))
-    offsets = counts.select(_G, F.coalesce(F.sum("__n").over(_before(part, order)), F.lit(0)).alias("__offset"))
-    joined = _attach(rows, offsets)
-    return joined.withColumn(out, (F.col(out) + F.col("__offset")).cast("bigint")).drop("__offset", _G)
+    rows = grouped.withColumn(out, function.over(Window.partitionBy(*_group(part)).orderBy(*order_columns(order))))
+    counts = grouped.filter(_CUT).groupBy(*_group(part)).agg(F.count("*").alias("__n"))
+    offsets = counts.select(*_group(part), F.sum("__n").over(_before(part, order)).alias("__offset"))
+    total = F.col(out) + F.coalesce(F.col("__offset"), F.lit(0))
+    return _attach(rows, offsets, part).withColumn(out, total.cast("bigint")).drop("__offset", *_group(part), _CUT)
 
 
 def add_lag(df: DataFrame, col: str, part: list[str], order: list, out: str, bucket=None) -> DataFrame:
     """Previous row's value; the first row of a bucket takes the last one of the bucket before."""
-    cut = _cut(df, order, bucket)
-    if cut is None:
+    grouped = _grouped(df, part, order, bucket)
+    if grouped is None:
         return df.withColumn(out, F.lag(col).over(Window.partitionBy(*part).orderBy(*order_columns(order))))
-    window = Window.partitionBy(_G).orderBy(*order_columns(order))
-    rows = _with_group(df, part, cut).withColumns({out: F.lag(col).over(window), "__n": F.row_number().over(window)})
-    last = rows.groupBy(_G).agg(F.max_by(F.struct(col), "__n").alias("__last"))
-    heads = last.select(_G, F.lag("__last").over(_by_bucket(part, order)).alias("__head"))
+    window = Window.partitionBy(*_group(part)).orderBy(*order_columns(order))
+    rows = grouped.withColumns({out: F.lag(col).over(window), "__n": F.row_number().over(window)})
+    last = rows.filter(_CUT).groupBy(*_group(part)).agg(F.max_by(F.struct(col), "__n").alias("__last"))
+    heads = last.select(*_group(part), F.lag("__last").over(_by_bucket(part, order)).alias("__head"))
     value = F.when(F.col("__n") == 1, F.col(f"__head.{col}")).otherwise(F.col(out))
-    return _attach(rows, heads).withColumn(out, value).drop("__head", "__n", _G)
+    return _attach(rows, heads, part).withColumn(out, value).drop("__head", "__n", *_group(part), _CUT)
 
 
 def sessionize(df: DataFrame, keys: list[str], col: str, gap_seconds: int, out: str = "session_id",
                bucket=None, bounds: DataFrame | None = None) -> DataFrame:
     """Number sessions per key; a gap of exactly ``gap_seconds`` stays in one session.
 
-    Whole seconds are compared. The summary has one row per key and time range.
+    Whole seconds are compared. The summary has one row per hot key and time range.
     """
     def opens(previous: Column, current: Column) -> Column:
         gap = _second(current) - _second(previous)
         return F.when(previous.isNull(), 1).when(gap > gap_seconds, 1).otherwise(0)
 
     order = [col]
-    cut = _cut(df, order, bucket, bounds)
-    grouped = _with_group(df, keys, F.lit(0) if cut is None else cut)
-    window = Window.partitionBy(_G).orderBy(col)
+    grouped = _grouped(df, keys, order, F.lit(0) if bucket is False else bucket, bounds)
+    window = Window.partitionBy(*_group(keys)).orderBy(col)
     previous = F.lag(col).over(window)
     marked = grouped.withColumn("__new", F.when(previous.isNull(), 0).otherwise(opens(previous, F.col(col))))
     numbered = marked.withColumn(
         "__local", F.sum("__new").over(window.rowsBetween(Window.unboundedPreceding, 0)))
-    days = numbered.groupBy(_G).agg(
+    spans = numbered.filter(_CUT).groupBy(*_group(keys)).agg(
         F.min(col).alias("__first"), F.max(col).alias("__last"), F.max("__local").alias("__more"))
-    by_day = _by_bucket(keys, order)
-    heads = days.withColumn("__head", opens(F.lag("__last").over(by_day), F.col("__first")))
+    heads = spans.withColumn("__head", opens(F.lag("__last").over(_by_bucket(keys, order)), F.col("__first")))
     earlier = F.sum(F.col("__more") + F.col("__head")).over(_before(keys, order))
-    offsets = heads.select(_G, (F.coalesce(earlier, F.lit(0)) + F.col("__head")).alias("__offset"))
-    joined = _attach(numbered, offsets)
-    return joined.withColumn(out, (F.col("__offset") + F.col("__local")).cast("bigint")).drop(
-        "__offset", "__local", "__new", _G)
+    offsets = heads.select(*_group(keys), (F.coalesce(earlier, F.lit(0)) + F.col("__head")).alias("__offset"))
+    number = F.coalesce(F.col("__offset"), F.lit(1)) + F.col("__local")
+    return _attach(numbered, offsets, keys).withColumn(out, number.cast("bigint")).drop(
+        "__offset", "__local", "__new", *_group(keys), _CUT)
 
 
 def _second(c: Column) -> Column:
