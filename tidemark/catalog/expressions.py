@@ -161,7 +161,7 @@ add("F12_parse_timestamp", lambda t: t.events.select(
     times.parse_ts("event_type", "yyyy-MM-dd").alias("none")),
     "SELECT event_id, date_trunc('second', ts) AS at, CAST(NULL AS TIMESTAMP) AS none FROM events")
 add("F13_year", lambda t: t.orders.select("o_orderkey", times.year("o_orderdate").alias("y")),
-    "SELECT o_orderkey, year(o_orderdate) AS y FROM orders")
+    "SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders")
 add("F14_round_extremes", lambda t: t.lineitem.select(
     "l_orderkey", "l_linenumber", F.round(numbers.money("l_extendedprice"), 1).alias("r"),
     F.greatest("l_discount", "l_tax", F.lit(None)).alias("g"), F.least("l_discount", "l_tax").alias("l")),
@@ -225,7 +225,7 @@ add("C07_try_json_map", lambda t: cards(t).select(
     nested.try_json_map(F.concat(F.lit('{"a": '), nested.json_value("attributes", "$"), F.lit("}"))).isNotNull().alias("deep")),
     "SELECT event_id, event_type <> 'error' AS flat, FALSE AS deep FROM events")
 add("C08_array_size", lambda t: t.documents.select("doc_id", F.size(F.split("text", " ")).alias("n")),
-    "SELECT doc_id, len(string_split(text, ' ')) AS n FROM documents")
+    "SELECT doc_id, CAST(len(string_split(text, ' ')) AS INTEGER) AS n FROM documents")
 add("C09_array_join", lambda t: t.part.select("p_partkey", F.array_join(F.split("p_name", " "), "|").alias("j")),
     "SELECT p_partkey, array_to_string(string_split(p_name, ' '), '|') AS j FROM part")
 add("C10_shred_json", lambda t: nested.shred_json(

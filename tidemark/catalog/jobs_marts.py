@@ -118,7 +118,7 @@ def _latency(t):
 
 add("B34_latency_offsets", _latency,
     """SELECT event_id, CASE WHEN event_type <> 'error' THEN date_trunc('millisecond', ts) END AS requested_at, CASE WHEN event_type <> 'error' THEN user_id END AS response,
-CASE WHEN event_type NOT IN ('error', 'view') THEN 2500 END AS render FROM events""")
+CASE WHEN event_type NOT IN ('error', 'view') THEN CAST(2500 AS BIGINT) END AS render FROM events""")
 
 
 def _apps(t):

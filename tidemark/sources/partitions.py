@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.times import NTZ, to_datetime
-from tidemark.operators.joins import union_all
 from tidemark.operators.slots import SLOT
 
 
@@ -53,8 +52,6 @@ def expand_catalog(template, entries: list[dict]) -> DataFrame:
     """One table spec applied to many logs: ``template(**entry)`` gives a frame, tagged by its alias."""
     frames = [template(**{k: v for k, v in e.items() if k != "alias"}).withColumn("alias", F.lit(e["alias"]))
               for e in entries]
-    if len({tuple(sorted(f.columns)) for f in frames}) == 1:
-        return union_all(*frames)
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)

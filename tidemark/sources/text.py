@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
+from tidemark.functions.text import try_whole
 from tidemark.functions.times import epoch_to_ts
 
 # Reader options by preset.
@@ -65,7 +66,9 @@ def load_with_rejects(df: DataFrame, schema: StructType, widths: dict[str, int]
             if widths and f.name in widths:
                 value = F.substring(value, 1, widths[f.name])
         else:
-            value = F.trim(raw.cast("string")).try_cast(f.dataType)
+            plain = F.trim(raw.cast("string"))
+            whole = isinstance(f.dataType, T.IntegralType)
+            value = try_whole(plain, f.dataType.simpleString()) if whole else plain.try_cast(f.dataType)
             good = good & ((F.coalesce(raw.cast("string"), F.lit("")) == "") | value.isNotNull())
         if f.name in not_null:
             good = good & value.isNotNull()
