@@ -143,7 +143,7 @@ def best_two_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.nda
 
 def _round(rows: DataFrame, capacity: int, shards: int, number: int) -> DataFrame:
     """Pack each shard; rows carry length and __row."""
-    schema = rows.drop("__row").schema.add("sequence_id", "bigint").add("offset", "bigint").add("__full", "boolean")
+    schema = rows.drop("__row").schema.add("sequence_id", "long").add("offset", "long").add("__full", "boolean")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         shard = int(group["__shard"].iloc[0])
