@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact, packing, quality
+from tidemark.llm import bpe, exact, html, language, packing, quality, warc
 from tidemark.llm.storage import table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -31,12 +31,15 @@ def _over(name: str, operator: Callable[..., DataFrame], *arguments) -> Callable
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_main_text": _over("pages", html.of_pages),
         "op3_byte_bpe": _over("documents", bpe.of_documents, BPE_RANKS, BPE_PATTERN),
+        "op5_language": _over("documents", language.of_documents),
         "op6_quality_rules": _over("documents", quality.of_documents),
+        "op7_warc_revisits": _over("pages", warc.of_pages),
         "op8_exact_dedup": _over("documents", exact.of_documents),
         "op9_best_fit_packing": _over("documents", packing.of_documents, WORD_BPE, END_ID, SEQUENCE),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": exact.ORACLE.strip()}
+    return {"op7_warc_revisits": warc.ORACLE.strip(), "op8_exact_dedup": exact.ORACLE.strip()}
