@@ -1,10 +1,10 @@
 """Exact deduplication by two-pass Bloom filtering, with DataFrame functions only.
 
-The first pass sets, for every text's hash, ``BITS_PER_ROW`` bits in one 32,768-bit bucket of a blocked
-Bloom filter, and keeps the bits that two or more rows set. The second pass tests every hash against
-that filter: a row whose bits are not all kept has no equal and passes straight through; only the others
-shuffle, where the full SHA-256 decides. The filter is broadcast; it has 16 bits a row, at most
-``MAX_BITS`` (128 MB). A larger table only sends more rows through the shuffle, with the same result.
+The first pass sets, for every text's hash, two bits in one bucket of a blocked Bloom filter, and keeps
+the bits that two or more rows set. The second pass tests every hash against that filter: a row whose
+bits are not all kept has no equal and passes straight through; only the others shuffle, where the full
+SHA-256 decides. The filter is broadcast; it has 16 bits a row, at most 128 MB. A larger table only
+sends more rows through the shuffle, with the same result.
 
 Texts are equal when identical after lower-casing A-Z. Defined results: null counts as empty; of equal
 texts the row with the largest id stays, a null id counting as the smallest; of repeated rows with that
@@ -15,47 +15,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.llm.bloom import bitmaps, bits_of, bucket_count, bucket_of, flag
 from tidemark.llm.storage import ascii_lower, saved
 
-BUCKET = 32_768
-MAX_BITS = 1 << 30
-BITS_PER_ROW = 2
-
-
 def _normal(text: str) -> Column:
     return ascii_lower(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
 
 
-def _bucket(key: str, buckets: int) -> Column:
-    return F.pmod(F.shiftrightunsigned(F.col(key), 32), F.lit(buckets))
-
-
-def _bits(key: str) -> list[Column]:
-    return [F.shiftright(F.col(key), 15 * k).bitwiseAND(BUCKET - 1) for k in range(BITS_PER_ROW)]
-
-
-def bucket_count(rows: int) -> int:
-    """Power of two; 16 bits a row, within the bound of the broadcast."""
-    return 1 << max(0, (min(max(16 * rows, BUCKET), MAX_BITS) - 1).bit_length() - 15)
-
-
 def repeated_filter(hashes: DataFrame, key: str, buckets: int) -> DataFrame:
     """First pass: (bucket, bitmap) of the bits that two or more rows set."""
-    slots = hashes.select(_bucket(key, buckets).alias("bucket"), F.explode(F.array_distinct(F.array(*_bits(key)))).alias("bit"))
-    twice = slots.groupBy("bucket", "bit").agg(F.count("*").alias("n")).filter("n > 1")
-    return twice.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
-
-
-def flag(rows: DataFrame, key: str, seen: DataFrame, buckets: int, out: str) -> DataFrame:
-    """Second pass: whether all of a row's bits are in the filter."""
-    found = F.lit(True)
-    for bit in _bits(key):
-        byte = F.substring("bitmap", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))
-        value = F.conv(F.hex(byte), 16, 10).cast("int")
-        found = found & (value.bitwiseAND(F.element_at(F.lit([1 << k for k in range(8)]), bit.bitwiseAND(7).cast("int") + 1)) != 0)
-    looked = rows.withColumn("__bucket", _bucket(key, buckets)).join(
-        F.broadcast(seen.withColumnRenamed("bucket", "__bucket")), "__bucket", "left")
-    return looked.withColumn(out, F.coalesce(found, F.lit(False))).drop("__bucket", "bitmap")
+    slots = hashes.select(bucket_of(key, buckets).alias("bucket"), F.explode(F.array_distinct(F.array(*bits_of(key)))).alias("bit"))
+    return bitmaps(slots.groupBy("bucket", "bit").agg(F.count("*").alias("n")).filter("n > 1"))
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact, html, language, packing, quality, warc
+from tidemark.llm import bpe, exact, html, language, near, packing, quality, toxicity, warc
 from tidemark.llm.storage import table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -29,10 +29,19 @@ def _over(name: str, operator: Callable[..., DataFrame], *arguments) -> Callable
     return query
 
 
+def _with_labels(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        reachable(spark)
+        return operator(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return query
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_main_text": _over("pages", html.of_pages),
+        "op2_near_duplicates": _over("documents", near.of_documents),
         "op3_byte_bpe": _over("documents", bpe.of_documents, BPE_RANKS, BPE_PATTERN),
+        "op4_toxicity": _with_labels(toxicity.of_documents),
         "op5_language": _over("documents", language.of_documents),
         "op6_quality_rules": _over("documents", quality.of_documents),
         "op7_warc_revisits": _over("pages", warc.of_pages),
