@@ -11,6 +11,7 @@ their own; only the id and text columns are looked at; an empty table gives an e
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -26,6 +27,7 @@ SHARD = 16_384
 FULL = 0.97
 MAX_WORDS = 250_000
 LONGEST_KEPT = 64
+SPECIAL, MARKS = b"<|", b".,;:!?"
 
 
 class WordIds(dict):
@@ -38,8 +40,7 @@ class WordIds(dict):
     def __missing__(self, word: bytes) -> bytes:
         packed = self.older.get(word)
         if packed is None:
-            ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-            packed = np.array(ids, "<u4").tobytes()
+            packed = self._encode(word)
         if len(self) >= MAX_WORDS:
             self.older = dict(self)
             self.clear()
@@ -47,6 +48,18 @@ class WordIds(dict):
             self[word] = packed
         return packed
 
+    def _encode(self, word: bytes) -> bytes:
+        """Ids of a new word; upper case and marks at its end are taken off first, as the words so left
+        are fewer. The tokenizer lower-cases, and splits between a letter and a mark."""
+        if SPECIAL not in word:
+            lower = word.lower()
+            if lower != word:
+                return self[lower]
+            core = word.rstrip(MARKS)
+            if core and core != word and core.decode()[-1].lower()[-1].isalpha():
+                return self[core] + self[word[len(core):]]
+        return array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+
 
 @cache
 def _word_ids(path: str) -> WordIds:
@@ -58,7 +71,8 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int, id_col: str =
     """Each document's ids and the end token, cut after every ``capacity`` ids.
 
     Columns: id, piece, start, length, ids (packed unsigned 32-bit, little-endian). The tokenizer (a file
-    every machine has at that place) must treat words between ASCII white space separately.
+    every machine has at that place) must treat words between ASCII white space separately, lower-case
+    them, and split letters from marks.
     """
     source = docs.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").cast("string").alias("__text"))
     kind = docs.schema[id_col].dataType.simpleString()
