@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact, html, language, near, packing, quality, toxicity, warc
+from tidemark.llm import bpe, exact, html, language, near, packing, quality, suffix, toxicity, warc
 from tidemark.llm.storage import table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -47,6 +47,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_warc_revisits": _over("pages", warc.of_pages),
         "op8_exact_dedup": _over("documents", exact.of_documents),
         "op9_best_fit_packing": _over("documents", packing.of_documents, WORD_BPE, END_ID, SEQUENCE),
+        "op10_repeat_removal": _over("documents", suffix.of_documents),
     }
 
 
