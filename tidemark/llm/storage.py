@@ -13,7 +13,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     The files outlive any executor, so nothing before this point is ever computed again.
     """
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
