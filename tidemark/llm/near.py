@@ -37,8 +37,8 @@ from tidemark.llm.storage import parallelism, saved
 
 WORDS = 5
 SKETCH = 128
-TREES, LEVELS, DEPTH = 14, 3, 12
-SMALL = 96
+TREES, LEVELS, DEPTH = 10, 3, 12
+SMALL = 256
 _rng = np.random.default_rng(20240229)
 _FLIP = _rng.integers(0, 1 << 32, SKETCH, np.uint32)
 _TIMES = _rng.integers(0, 1 << 32, SKETCH, np.uint32) | np.uint32(1)
@@ -309,8 +309,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _blocked(large: DataFrame) -> DataFrame:
-    """Number the members of each large node into blocks of about half ``SMALL``."""
-    blocks = F.ceil(F.col("size") * 2 / SMALL).cast("bigint")
+    """Number the members of each large node into blocks of about ``SMALL``."""
+    blocks = F.ceil(F.col("size") / SMALL).cast("bigint")
     return large.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id", F.lit(7)), F.col("blocks")))
 
 
