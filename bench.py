@@ -6,6 +6,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from tidemark.catalog import load_all
@@ -32,7 +33,8 @@ def main() -> None:
     cores = os.environ.get("BENCH_CPUS", "8")
     rounds = int(os.environ.get("BENCH_ROUNDS", "3"))
     keys = sys.argv[1:] or HEADLINE
-    spark, catalog, times = local_session(cores, partitions=int(cores) if cores.isdigit() else 8, app="bench"), load_all(), {}
+    spark, catalog, times = local_session(cores, partitions=int(cores) if cores.isdigit() else 8, app="bench",
+                                          scratch=tempfile.mkdtemp(prefix="bench-")), load_all(), {}
     for key in keys:
         run(catalog[key], spark, folder)
         times[key] = round(statistics.median(run(catalog[key], spark, folder) for _ in range(rounds)), 4)

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from tests.conftest import rows
 from tidemark.operators.slots import dedup_window, switch_if_nonempty
-from tidemark.session import cut_lineage, scratch_dir
+from tidemark.session import require_folder, scratch_dir
 from tidemark.sinks import retention, slots, unload
 from tidemark.sources import extract, partitions, text
 from tidemark.functions import nested
@@ -46,28 +46,60 @@ def test_swap_while_reading_the_old_table(spark, frame):
     assert rows(spark.read.parquet(path)) == [(2,)]
 
 
-def test_cut_lineage(frame):
-    assert rows(cut_lineage(frame("a int, b string", (1, "x"), (None, None)))) == [(None, None), (1, "x")]
+def test_scratch_needs_a_named_folder(spark):
+    assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    with pytest.raises(ValueError):
+        require_folder(None)
+
+
+def test_skipped_and_failed_runs_leave_the_slot(spark, frame):
+    path, at = scratch_dir(spark, "p"), "2024-01-01 05:00:00"
+    full, none = frame("v int", (1,), (2,)), frame("v int", (1,)).filter("v > 5")
+    slots.write_slot(full, path, at)
+    assert slots.write_slot(none, path, at, on_empty="skip").rows == 0
+    with pytest.raises(ValueError):
+        slots.write_slot(none, path, at, on_empty="fail")
+    assert partitions.read_slots(spark, path).count() == 2
+    slots.write_slot(none, path, at, on_empty="keep")
+    assert partitions.read_slots(spark, path, "v int").count() == 0
+
+
+def test_refused_swap_keeps_the_table(spark, frame):
+    path = scratch_dir(spark, "q")
+    slots.swap_table(frame("v int", (1,)), path)
+    with pytest.raises(OSError):
+        slots.replace_folder(spark, f"{path}.missing", path)
+    assert rows(spark.read.parquet(path)) == [(1,)]
+
+
+def test_jdbc_replacement_never_empties_the_table():
+    statements = unload.replace_statements("t", "t_staged", ["k", "v"], ["k"])
+    assert statements == ["DELETE FROM t WHERE EXISTS (SELECT 1 FROM t_staged WHERE t_staged.k = t.k)",
+                          "INSERT INTO t (k, v) SELECT k, v FROM t_staged", "DROP TABLE t_staged"]
+    reader = extract.JdbcReader(None, "jdbc:x", "t", {})
+    assert reader.bounds_query("k") == "(SELECT min(k) AS lo, max(k) AS hi FROM t) b"
 
 
 def test_numeric_ranges_cover_the_largest_key(frame):
     df = frame("k int", *[(i,) for i in range(0, 21)])
-    assert extract.extract_table(extract.frame_reader(df), ["k"], "numeric", "k", step=10).count() == 21
-    assert extract.numeric_predicates("k", 5, 5) == ["k = 5"]
-    assert len(extract.numeric_predicates("k", 0, 10**9, 10, max_parts=100)) == 100
+    got = extract.extract_table(extract.FrameReader(df), ["k"], "numeric", "k", step=10, number="part")
+    assert rows(got.groupBy("part").count()) == [(0, 10), (1, 10), (2, 1)]
+    assert extract.extract_table(extract.FrameReader(df), ["k"], key="k", parts=4).count() == 21
+    assert extract.predicates("k", extract.numeric_ranges(5, 5)) == ["k = 5"]
+    assert len(extract.numeric_ranges(0, 1000, step=10)) == 100 and len(extract.numeric_ranges(0, 10**9, parts=7)) == 7
     with pytest.raises(ValueError):
-        extract.numeric_predicates("k", 6, 5)
+        extract.numeric_ranges(6, 5)
     one = frame("k int", (4,))
-    assert extract.extract_table(extract.frame_reader(one), ["k"], "numeric", "k").count() == 1
-    assert extract.extract_table(extract.frame_reader(one.filter("k < 0")), ["k"], "numeric", "k").count() == 0
+    assert extract.extract_table(extract.FrameReader(one), ["k"], "numeric", "k").count() == 1
+    assert extract.extract_table(extract.FrameReader(one.filter("k < 0")), ["k"], "numeric", "k").count() == 0
 
 
 def test_timestamp_ranges_are_cut_at_the_end():
-    got = extract.timestamp_predicates("t", "2024-01-01 00:00:00", "2024-01-01 02:30:00")
+    got = extract.predicates("t", extract.timestamp_ranges("2024-01-01 00:00:00", "2024-01-01 02:30:00"))
     assert len(got) == 3 and got[-1] == "t >= '2024-01-01 02:00:00' AND t < '2024-01-01 02:30:00'"
-    assert extract.timestamp_predicates("t", "2024-01-01 00:00:00", "2024-01-01 00:00:00") == ["t = '2024-01-01 00:00:00'"]
+    assert extract.predicates("t", extract.timestamp_ranges("2024-01-01 00:00:00", "2024-01-01 00:00:00")) == ["t = '2024-01-01 00:00:00'"]
     with pytest.raises(ValueError):
-        extract.timestamp_predicates("t", "2024-01-02", "2024-01-01")
+        extract.timestamp_ranges("2024-01-02", "2024-01-01")
 
 
 def test_rejects(frame):
@@ -97,11 +129,18 @@ def test_retention_needs_newer_slots(frame):
         retention.expire_snapshot(df.filter("hour(partition_timestamp) <> 2"), "2024-01-01 04:00:00", 4)
 
 
-def test_row_text_escapes_lines_and_backslashes(spark, frame):
+def test_row_text_comes_back(spark, frame):
     path = scratch_dir(spark, "r")
-    unload.write_rows(frame("s string, t timestamp_ntz", ("a\nb\\c", datetime(2024, 1, 1, 0, 0, 0, 5))).coalesce(1), path)
-    line = [r.value for r in spark.read.text(path).collect()][1]
-    assert "a\\" in line and "\n" not in line and "2024-01-01 00:00:00.000005" in line
+    odd = frame("s string, t timestamp_ntz", ("a\nb\\c", datetime(2024, 1, 1, 0, 0, 0, 5)), ('"q"|\\n\\', None), ("\r\n\\\\n", None)).coalesce(1)
+    unload.write_rows(odd, path)
+    lines = [r.value for r in spark.read.text(path).collect()]
+    assert len(lines) == 4 and lines[1] == '"a\\nb\\\\c"|"2024-01-01 00:00:00.000005"'
+    assert rows(unload.read_rows(spark, path, odd.schema)) == rows(odd)
+
+
+def test_nested_values_are_told_by_type(frame):
+    df = frame("j string", ('{"title": "[AD] sale", "n": "{x"}',), ('{"a": [1]}',), ('{"a": {}}',), ('{}',), ('"{}"',))
+    assert [r[0] for r in df.select(nested.try_json_map("j").isNotNull()).collect()] == [True, False, False, True, False]
 
 
 def test_dedup_window():

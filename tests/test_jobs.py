@@ -37,13 +37,41 @@ def test_dedup_check_counts_lost_and_doubled(frame):
     assert quality.check_dedup("c", src, frame("k int", (1,), (3,), (3,)), ["k"]).first().lhs == 3.0
 
 
-def test_large_groups_come_in_parts(spark):
-    df = spark.range(1000).select(F.lit("hot").alias("k"), "id").union(spark.range(3).select(F.lit("cold"), "id"))
-    got = aggregates.agg_joined(df, ["k"], "id", "|", "ids", "n", part="part", max_items=100)
-    found = got.collect()
-    hot = [int(i) for r in found if r.k == "hot" for i in r.ids.split("|")]
-    assert sorted(hot) == list(range(1000)) and sum(r.k == "hot" for r in found) > 5
-    assert [(r.part, r.ids, r.n) for r in found if r.k == "cold"] == [(0, "0|1|2", 3)]
+@pytest.mark.parametrize("size", [10, 200_000])
+def test_lists_have_one_shape_at_every_size(spark, size):
+    hot = spark.range(size).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
+    df = hot.unionByName(spark.createDataFrame([("none", None), ("none", None), ("one", 7), ("one", None)], "k string, v bigint"))
+    got = aggregates.item_list(df, ["k"], "v")
+    assert got.columns == ["k", "position", "item", "n"]
+    found = got.filter("k <> 'hot'").collect()
+    assert sorted((r.k, r.position, r.item, r.n) for r in found if r.k == "one") == [("one", 1, 7, 1)]
+    assert [(r.position, r.item, r.n) for r in found if r.k == "none"] == [(None, None, 0)]
+    large = got.filter("k = 'hot'")
+    assert large.filter(F.col("position") == F.col("item") + 1).count() == size and large.select("n").distinct().collect()[0].n == size
+
+
+def test_baskets_of_text_ids(spark):
+    from tidemark.plans.labels import baskets
+    bought = [(f"u{u}", f"p{p}") for u in range(6) for p in range(u + 1)]
+    lines = spark.createDataFrame(bought, "viewer_id string, product_id string").withColumns({
+        "is_occurred": F.lit(True), "user_action": F.lit("purchase_from_view_detail"), "product_feed_id": F.lit(1),
+        "occurred_at": F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")})
+    got = baskets(lines, "2024-01-02 00:00:00").collect()
+    # counts 6 5 4 3 2 1: the rarest product goes
+    assert {(r.viewer_id, r.product_id) for r in got} == {b for b in bought if b[1] != "p5"}
+
+
+def test_many_expiries_of_one_person(spark):
+    """2,000 expiries of one person: each (expiry, month) is made once."""
+    n = 2000
+    at = lambda c: F.timestamp_add("DAY", c.cast("int"), F.lit("2010-01-01").cast("timestamp_ntz"))
+    e = spark.range(n).select(F.lit(1).alias("person_id"), (F.col("id") * 2 + 1).alias("version"), at(F.col("id") * 2 + 1).alias("expire_date"),
+                              F.lit(5).cast("decimal(27,9)").alias("amount"))
+    ledger = spark.range(n).select(F.lit(1).alias("person_id"), (F.col("id") * 2).alias("version"), at(F.col("id") * 2).alias("created_at"),
+                                   F.lit(10).cast("decimal(27,9)").alias("collected"))
+    got = money.expire_points(e, ledger)
+    totals = got.groupBy("expire_date").agg(F.sum("points_withdraw").alias("s")).agg(F.count("*").alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi")).first()
+    assert (totals.n, int(totals.lo), int(totals.hi)) == (n, 5, 5)
 
 
 def test_overspend_is_none_partial_or_whole(frame):
@@ -81,7 +109,7 @@ def test_basket_leaves_out_only_the_rarest_product(frame):
         "product_feed_id": F.lit(5), "is_occurred": F.lit(True), "user_action": F.lit("purchase_from_view_detail"),
         "occurred_at": F.lit("2024-01-05").cast("timestamp_ntz")})
     got = labels.baskets(df, "2024-01-06", feed=5)
-    assert rows(got, "viewer_id", "product_ids", "product_count") == [(1, "10|20", 2), (2, "10", 1)]
+    assert rows(got, "viewer_id", "position", "product_id", "product_count") == [(1, 1, 10, 2), (1, 2, 20, 2), (2, 1, 10, 1)]
 
 
 def test_recent_products_keep_repeats(frame):
@@ -89,7 +117,7 @@ def test_recent_products_keep_repeats(frame):
     df = frame("viewer_id int, product_feed_id int, product_id int, event_type string, event_time timestamp_ntz",
                (1, 1, 7, "p", t), (1, 1, 7, "p", t), (1, 1, 8, "v", t), (1, 1, 9, "p", D(2023, 1, 1)))
     got = popularity.recent_products(df, {"view": "v", "buy": "p"}, "2024-01-06")
-    assert rows(got, "view_product_ids", "view_count", "buy_product_ids", "buy_count") == [("8", 1, "7|7", 2)]
+    assert rows(got, "action", "position", "product_id", "times", "action_count") == [("buy", 1, 7, 2, 2), ("view", 1, 8, 1, 1)]
 
 
 def test_reach_without_group_is_left_out(frame):

@@ -90,3 +90,31 @@ def test_group_limit_runs_before_the_shuffle(spark):
     df = ordered.top_n(spark.range(1000).withColumn("k", F.col("id") % 3), ["k"], ["id"], 5)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_odd_values_do_not_undo_the_split(spark):
+    """One row of 1970 and one of 2100 in a hot key: no range holds more than three times its share."""
+    n = 20_000
+    at = F.timestamp_add("SECOND", F.col("id").cast("int"), F.lit("2024-01-01").cast("timestamp_ntz"))
+    hot = spark.range(n).select("id", F.lit("hot").alias("k"), at.alias("at"))
+    odd = spark.createDataFrame([(n, "hot", datetime(1970, 1, 1)), (n + 1, "hot", datetime(2100, 1, 1))], "id bigint, k string, at timestamp_ntz")
+    df = hot.unionByName(odd)
+    grouped = ordered._grouped(df, ["k"], ["at"], None)
+    sizes = [r["count"] for r in grouped.groupBy("__bucket").count().collect()]
+    assert len(sizes) > ordered.RANGES // 2 and max(sizes) <= 3 * n / ordered.RANGES
+    numbered = ordered.add_row_number(df, ["k"], ["at"])
+    assert numbered.agg(F.max("row_num"), F.count_distinct("row_num")).first()[:] == (n + 2, n + 2)
+
+
+def test_text_order_is_cut_too(spark):
+    df = spark.range(5000).select(F.lit(1).alias("k"), F.format_string("%07d-é", F.col("id")).alias("t"))
+    assert ordered._grouped(df, ["k"], ["t"], None).select("__bucket").distinct().count() > ordered.RANGES // 2
+    got = ordered.running_sum(df.withColumn("one", F.lit(1)), "one", ["k"], ["t"], "s")
+    assert got.filter(F.col("s") != F.substring("t", 1, 7).cast("int") + 1).count() == 0
+
+
+def test_without_hot_keys_it_is_a_plain_window(spark):
+    df = spark.range(2000).select((F.col("id") % 500).alias("k"), "id")
+    assert ordered._grouped(df, ["k"], ["id"], None) is None
+    plan = ordered.running_sum(df, "id", ["k"], ["id"], "s")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window") == 1 and "Join" not in plan

@@ -167,10 +167,27 @@ add("F14_round_extremes", lambda t: t.lineitem.select(
     F.greatest("l_discount", "l_tax", F.lit(None)).alias("g"), F.least("l_discount", "l_tax").alias("l")),
     "SELECT l_orderkey, l_linenumber, CAST(round(CAST(l_extendedprice AS DECIMAL(27,9)), 1) AS DOUBLE) AS r, "
     "greatest(l_discount, l_tax, NULL) AS g, least(l_discount, l_tax) AS l FROM lineitem")
-add("F15_hash_bucket", lambda t: t.customer.select("c_custkey", text.hash_bucket("c_name").alias("crc")))
-add("F16_random", lambda t: t.events.select(E, F.rand(7).alias("r")).withColumn(
-    "in_range", (F.col("r") >= 0) & (F.col("r") < 1)).drop("r"),
-    "SELECT event_id, TRUE AS in_range FROM events")
+# The checksum in SQL: fold the bytes, eight shifts each, with the reversed polynomial.
+_SHIFT = "xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)"
+_FOLD = "x"
+for _ in range(8):
+    _FOLD = f"list_transform([{_FOLD}], lambda x: {_SHIFT})[1]"
+add("F15_hash_bucket", lambda t: t.customer.select("c_custkey", text.hash_bucket("c_name").alias("crc")),
+    "SELECT c_custkey, CAST(xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c_name, ''), lambda c: ascii(c)::BIGINT)), "
+    f"lambda a, b: list_transform([xor(a, b)], lambda x: {_FOLD})[1]), 4294967295) % 100 AS INTEGER) AS crc FROM customer"),
+
+
+def _random(t):
+    """All numbers lie in [0, 1), one seed repeats them, another does not, and the mean is near a half."""
+    r = t.events.select(F.rand(7).alias("a"), F.rand(7).alias("b"), F.rand(8).alias("c"))
+    n = F.count("*")
+    return r.agg(n.alias("n"), F.count_if((F.col("a") >= 0) & (F.col("a") < 1)).alias("in_range"), F.count_if(F.col("a") == F.col("b")).alias("same"),
+                 (F.count_if(F.col("a") == F.col("c")) * 100 < n).alias("differs"),
+                 (F.abs(F.avg("a") - 0.5) < F.lit(2) / F.sqrt(n)).alias("mean_ok"))
+
+
+add("F16_random", _random,
+    "SELECT count(*) AS n, count(*) AS in_range, count(*) AS same, TRUE AS differs, TRUE AS mean_ok FROM events")
 add("F17_url_parameter", lambda t: t.pages.select("page_id", text.url_param("url", "page").alias("page"),
                                                   text.url_param("url", "ref").alias("ref")),
     "SELECT page_id, nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') AS page, "
@@ -220,10 +237,20 @@ add("C06_json_nested", lambda t: t.events.select(
     E, nested.json_value(F.concat(F.lit('{"unit": {"id": '), F.col("user_id").cast("string"), F.lit("}}")),
                          "$.unit.id").alias("unit_id")),
     "SELECT event_id, CAST(user_id AS VARCHAR) AS unit_id FROM events")
-add("C07_try_json_map", lambda t: cards(t).select(
-    E, nested.try_json_map("attributes").isNotNull().alias("flat"),
-    nested.try_json_map(F.concat(F.lit('{"a": '), nested.json_value("attributes", "$"), F.lit("}"))).isNotNull().alias("deep")),
-    "SELECT event_id, event_type <> 'error' AS flat, FALSE AS deep FROM events")
+
+
+def _json_maps(t):
+    """Flat objects, some with values that begin like a nested one; views are nested, errors are cut off."""
+    flat = F.to_json(F.struct(F.concat(F.lit("[x] {"), "event_type").alias("a"), F.concat(F.lit("{"), F.col(E).cast("string")).alias("b")))
+    deep = F.to_json(F.struct(F.struct(F.col(E).alias("n")).alias("a")))
+    line = F.when(F.col("event_type") == "view", deep).when(F.col("event_type") == "error", F.expr("left(flat, length(flat) - 1)")).otherwise(F.col("flat"))
+    m = t.events.withColumn("flat", flat).select(E, nested.try_json_map(line).alias("m"))
+    return m.select(E, F.col("m").isNotNull().alias("is_flat"), F.col("m")["a"].alias("a"), F.col("m")["b"].alias("b"))
+
+
+add("C07_try_json_map", _json_maps,
+    "SELECT event_id, event_type NOT IN ('view', 'error') AS is_flat, CASE WHEN event_type NOT IN ('view', 'error') THEN '[x] {' || event_type END AS a, "
+    "CASE WHEN event_type NOT IN ('view', 'error') THEN '{' || event_id END AS b FROM events")
 add("C08_array_size", lambda t: t.documents.select("doc_id", F.size(F.split("text", " ")).alias("n")),
     "SELECT doc_id, CAST(len(string_split(text, ' ')) AS INTEGER) AS n FROM documents")
 add("C09_array_join", lambda t: t.part.select("p_partkey", F.array_join(F.split("p_name", " "), "|").alias("j")),
@@ -265,10 +292,14 @@ add("N02_enrich_profiles", _enriched,
 
 
 def _creatives(t):
-    listed = aggregates.agg_list(t.items, ["ad_group_id"], {"names": "item_name", "urls": "id"}, ",", ["id"])
+    """Each part lists the words of its name and as many links."""
+    words = F.split("p_name", " ")
+    listed = t.part.select("p_partkey", F.array_join(words, ",").alias("names"),
+                           F.array_join(F.transform(words, lambda w, i: F.concat(F.col("p_partkey").cast("string"), F.lit("/"), i.cast("string"))), ",").alias("urls"))
     zipped = listed.withColumn("creative", F.explode(nested.zip_lists("names", "urls")))
-    return zipped.select("ad_group_id", "creative.name", "creative.image_url")
+    return zipped.select("p_partkey", "creative.name", "creative.image_url")
 
 
 add("N03_zip_lists", _creatives,
-    "SELECT p_size AS ad_group_id, p_name AS name, CAST(p_partkey AS VARCHAR) AS image_url FROM part")
+    "SELECT p_partkey, name, p_partkey || '/' || (i - 1) AS image_url FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS name, "
+    "generate_subscripts(string_split(p_name, ' '), 1) AS i FROM part)")

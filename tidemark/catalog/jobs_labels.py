@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.catalog.base import ACTIONS, add
+from tidemark.catalog.base import ACTIONS, add, ITEMS
 from tidemark.functions.numbers import money
 from tidemark.plans import labels, popularity
 
@@ -140,7 +140,8 @@ HISTORY = f"""{ACTIONS}, {EV}, h AS (SELECT viewer_id, lineitem_id, unit_id, pro
 rec AS (SELECT viewer_id, occurred_at, CASE WHEN event_type = 'view_detail' THEN user_id || '-' || unit_id ELSE '' END || ',' || lineitem_id || ',' || unit_id
  || ',' || product_id || ',' || product_feed_id || ',' || event_type || '_from_view_detail,' || CASE WHEN event_type <> 'view_detail' THEN 'true' ELSE 'false' END
  || ',,' || strftime(occurred_at, '%Y-%m-%d %H:%M:%S.%g') AS history FROM h QUALIFY rank() OVER (PARTITION BY viewer_id ORDER BY occurred_at DESC) <= {{n}}),
-agg AS (SELECT viewer_id, string_agg(history, '|' ORDER BY occurred_at DESC, history) AS histories, count(*) AS count FROM rec GROUP BY 1)"""
+agg AS (SELECT viewer_id, row_number() OVER (PARTITION BY viewer_id ORDER BY occurred_at DESC, history) AS position, history,
+ count(*) OVER (PARTITION BY viewer_id) AS count FROM rec)"""
 add("B11_user_histories", lambda t: labels.user_histories(history_rows(t), END, n=20),
     f"WITH {HISTORY.format(n=20)} SELECT * FROM agg")
 
@@ -195,8 +196,8 @@ add("B14_baskets", _baskets,
     """WITH b AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem), c AS (SELECT l_partkey, count(*) AS cnt FROM b GROUP BY 1),
 acc AS (SELECT l_partkey, sum(cnt) OVER (ORDER BY cnt DESC, l_partkey ROWS UNBOUNDED PRECEDING) AS acc FROM c),
 kept AS (SELECT l_partkey FROM acc WHERE acc < (SELECT sum(cnt) FROM c))
-SELECT l_orderkey AS viewer_id, CAST(0 AS INTEGER) AS part, string_agg(CAST(l_partkey AS VARCHAR), '|' ORDER BY l_partkey) AS product_ids, count(*) AS product_count
-FROM b WHERE l_partkey IN (SELECT l_partkey FROM kept) GROUP BY 1""")
+SELECT l_orderkey AS viewer_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey) AS position, l_partkey AS product_id,
+ count(*) OVER (PARTITION BY l_orderkey) AS product_count FROM b WHERE l_partkey IN (SELECT l_partkey FROM kept)""")
 
 # Popularity: each line sells a part; brand and type are feed and category.
 SOLD = """sold AS (SELECT l_partkey AS product_id, p_brand AS feed, p_type AS category, count(*) AS cnt FROM lineitem JOIN part ON p_partkey = l_partkey
@@ -219,18 +220,17 @@ add("B15_top_per_category", lambda t: popularity.popular(sold(t), ["feed", "cate
     f"SELECT feed, category, {BEST} FROM s GROUP BY 1, 2")
 add("B15_purchase_rank", lambda t: popularity.popular(sold(t), ["feed"], mode="rank", **LONG),
     f"WITH {SOLD} SELECT feed, product_id, rank() OVER (PARTITION BY feed ORDER BY cnt DESC) AS rank FROM sold")
-add("B15_random_sample", lambda t: popularity.popular(t.items, ["feed"], 1000, mode="sample", seed=11))
-
-
-def _list(name: str, kind: str) -> str:
-    return (f"string_agg(CAST(product_id AS VARCHAR), '|' ORDER BY product_id) FILTER (event_type = '{kind}') AS {name}_product_ids, "
-            f"count(*) FILTER (event_type = '{kind}') AS {name}_count")
+add("B15_random_sample", lambda t: popularity.popular(t.items, ["feed"], 25, mode="sample", seed=11),
+    f"WITH {ITEMS}, d AS (SELECT feed, id FROM items QUALIFY row_number() OVER (PARTITION BY feed ORDER BY md5(id || ':11'), id) <= 25) "
+    "SELECT feed, string_agg(CAST(id AS VARCHAR), '|' ORDER BY id) AS product_ids, count(*) AS product_count FROM d GROUP BY 1")
 
 
 add("B16_recent_products", lambda t: popularity.recent_products(
     resolved(t), {"view_detail": "view_detail", "cart": "add_to_cart", "purchase": "purchase"}, END),
-    f"""WITH {ACTIONS}, {EV} SELECT viewer_id, product_feed_id, CAST(0 AS INTEGER) AS part, {_list('view_detail', 'view_detail')}, {_list('cart', 'add_to_cart')},
-{_list('purchase', 'purchase')} FROM ev WHERE event_time >= TIMESTAMP '2024-01-17' AND event_time < TIMESTAMP '2024-01-31' GROUP BY 1, 2""")
+    f"""WITH {ACTIONS}, {EV}, c AS (SELECT viewer_id, product_feed_id, CASE event_type WHEN 'add_to_cart' THEN 'cart' ELSE event_type END AS action, product_id, count(*) AS times
+FROM ev WHERE event_time >= TIMESTAMP '2024-01-17' AND event_time < TIMESTAMP '2024-01-31' AND event_type IN ('view_detail', 'add_to_cart', 'purchase') GROUP BY 1, 2, 3, 4)
+SELECT *, row_number() OVER (PARTITION BY viewer_id, product_feed_id, action ORDER BY product_id) AS position,
+ CAST(sum(times) OVER (PARTITION BY viewer_id, product_feed_id, action) AS BIGINT) AS action_count FROM c""")
 add("B17_user_top_category", lambda t: popularity.user_top_category(resolved(t), END, ["purchase", "add_to_cart"]),
     f"""WITH {ACTIONS}, {EV}, c AS (SELECT viewer_id, product_feed_id, category, count(*) AS cnt FROM ev WHERE event_type IN ('purchase', 'add_to_cart')
 AND event_time >= TIMESTAMP '2024-01-03' AND event_time < TIMESTAMP '2024-01-31' GROUP BY 1, 2, 3)

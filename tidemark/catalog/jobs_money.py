@@ -273,14 +273,14 @@ made AS (SELECT o_custkey % 10 AS unit_id, o_orderdate, max(o_custkey % 25) AS c
 con AS (SELECT unit_id, 'first' AS src, arg_max(cid, o_orderdate) AS cid FROM made WHERE o_orderdate >= TIMESTAMP '2001-01-01' GROUP BY 1
  UNION ALL SELECT unit_id, 'second', arg_max(cid, o_orderdate) FROM made WHERE o_orderdate >= TIMESTAMP '1995-01-01' GROUP BY 1),
 terms AS (SELECT unit_id, src, CAST(n_nationkey AS DOUBLE) / 100 AS fee, CAST(n_regionkey AS DOUBLE) / 10 AS share FROM con JOIN nation ON n_nationkey = cid),
-j AS (SELECT a.*, 1 - fee AS f, share FROM allk a JOIN terms t ON t.unit_id = a.unit_id AND t.src = CASE WHEN account_type IN ('PARTNER_A', 'PARTNER_B') THEN 'first'
+j AS (SELECT a.*, 1 - fee AS f, share FROM allk a LEFT JOIN terms t ON t.unit_id = a.unit_id AND t.src = CASE WHEN account_type IN ('PARTNER_A', 'PARTNER_B') THEN 'first'
  WHEN account_type IN ('PARTNER_C', 'STANDARD') THEN 'second' END)
 SELECT CAST(date_at AS TIMESTAMP) AS date_at, ifa, unit_id, account_type, CAST(dr AS DOUBLE) AS display_revenue, CAST(ar AS DOUBLE) AS action_revenue, CAST(dc AS DOUBLE) AS display_cost,
 CAST(ac AS DOUBLE) AS action_cost, CAST(2 * dc AS DOUBLE) AS base_reward_cost,
-round(CASE account_type WHEN 'PARTNER_A' THEN 0 WHEN 'PARTNER_B' THEN dr * f * 0.5 WHEN 'PARTNER_C' THEN dr * f * share - mdr * 0.1 ELSE dr * f * share END, 6) AS display_revenue_payout,
-round(CASE account_type WHEN 'PARTNER_A' THEN 0 WHEN 'PARTNER_B' THEN ar * 0.5 ELSE ar * share END, 6) AS action_revenue_payout,
-round(CASE account_type WHEN 'PARTNER_A' THEN dc WHEN 'PARTNER_B' THEN dc * 0.5 WHEN 'PARTNER_C' THEN -3 * dc ELSE 3 * dc * share END, 6) AS display_cost_payout,
-round(CASE account_type WHEN 'PARTNER_A' THEN ac WHEN 'PARTNER_B' THEN ac * 0.5 WHEN 'PARTNER_C' THEN -ac ELSE ac * share END, 6) AS action_cost_payout FROM j""")
+round(CASE account_type WHEN 'PARTNER_A' THEN 0 WHEN 'PARTNER_B' THEN dr * f * 0.5 WHEN 'PARTNER_C' THEN dr * f * share - mdr * 0.1 WHEN 'STANDARD' THEN dr * f * share END, 6) AS display_revenue_payout,
+round(CASE WHEN account_type = 'PARTNER_A' THEN 0 WHEN account_type = 'PARTNER_B' THEN ar * 0.5 WHEN account_type IN ('PARTNER_C', 'STANDARD') THEN ar * share END, 6) AS action_revenue_payout,
+round(CASE account_type WHEN 'PARTNER_A' THEN dc WHEN 'PARTNER_B' THEN dc * 0.5 WHEN 'PARTNER_C' THEN -3 * dc WHEN 'STANDARD' THEN 3 * dc * share END, 6) AS display_cost_payout,
+round(CASE account_type WHEN 'PARTNER_A' THEN ac WHEN 'PARTNER_B' THEN ac * 0.5 WHEN 'PARTNER_C' THEN -ac WHEN 'STANDARD' THEN ac * share END, 6) AS action_cost_payout FROM j""")
 
 
 def _point_costs(t):

@@ -38,13 +38,17 @@ def _json_lines(t):
     cut = F.when(F.col("event_type") == "error", F.expr("left(line, length(line) - 1)")).otherwise(F.col("line"))
     path = scratch_dir(t.spark, "lines")
     t.events.withColumn("line", line).select(cut.alias("value")).write.text(path)
-    kept = text.read_json_lines(t.spark, path, EVENT).filter("event_type IS NOT NULL AND value IS NOT NULL").withColumn("mode", F.lit("null"))
-    dropped = text.read_json_lines(t.spark, path, EVENT, "drop").withColumn("mode", F.lit("drop"))
-    return kept.unionByName(dropped).filter("event_type <> 'error'")
+    counts = [F.count("*").alias("n"), F.count("event_id").alias("ids"), F.sum("event_id").alias("id_sum"), F.count("value").alias("vals"),
+              F.count_if(F.col("event_type") == "error").alias("errors")]
+    kept = text.read_json_lines(t.spark, path, EVENT).agg(*counts).withColumn("mode", F.lit("null"))
+    dropped = text.read_json_lines(t.spark, path, EVENT, "drop").agg(*counts).withColumn("mode", F.lit("drop"))
+    return kept.unionByName(dropped)
 
 
-add("S04_json_lines", _json_lines, " UNION ALL ".join(
-    f"SELECT event_id, user_id, event_type, value, '{m}' AS mode FROM events WHERE event_type <> 'error'" for m in ("null", "drop")))
+_GOOD = ("count(*) FILTER (event_type <> 'error') AS ids, CAST(sum(event_id) FILTER (event_type <> 'error') AS BIGINT) AS id_sum, "
+         "count(value) FILTER (event_type <> 'error') AS vals, 0 AS errors")
+add("S04_json_lines", _json_lines,
+    f"SELECT count(*) AS n, {_GOOD}, 'null' AS mode FROM events UNION ALL SELECT count(*) FILTER (event_type <> 'error'), {_GOOD}, 'drop' FROM events")
 
 
 def _formats(t):
@@ -60,12 +64,13 @@ add("S05_timestamp_formats", _formats,
     "SELECT event_id, CASE event_type WHEN 'view' THEN ts WHEN 'click' THEN date_trunc('second', ts) WHEN 'error' THEN NULL "
     "ELSE date_trunc('second', ts) + (CAST(date_part('microsecond', ts) AS BIGINT) % 1000000 // 100000) * INTERVAL 100 MILLISECOND END AS at FROM events")
 
-LOG = r'^time="(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})" level=([a-zA-Z]*) msg="([^*]*)"$'
+# Lines of the form: [2024-01-01 10:00:00] <view> user 7
+LOG = r"^\[([-0-9]{10} [:0-9]{8})\] <(\w+)> (.*)$"
 
 
 def log_lines(t):
-    line = F.concat(F.lit('time="'), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit('" level='), F.col("event_type"),
-                    F.lit(' msg="user '), F.col("user_id").cast("string"), F.lit('"'))
+    line = F.concat(F.lit("["), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit("] <"), F.col("event_type"),
+                    F.lit("> user "), F.col("user_id").cast("string"))
     return t.events.select("event_id", F.when(F.col("event_type") == "error", "garbage").otherwise(line).alias("line"))
 
 
@@ -139,12 +144,17 @@ add("S10_change_image", _image,
     "lower(l_returnflag) AS kind, CAST(l_suppkey AS VARCHAR) AS unit_id FROM lineitem")
 
 COLS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]
-ALL = "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders"
-add("S11_dump", lambda t: extract.extract_table(extract.frame_reader(t.orders), COLS), ALL)
-add("S12_numeric_extract", lambda t: extract.extract_table(extract.frame_reader(t.orders), COLS, "numeric", "o_orderkey", step=2500), ALL)
+_RANGED = "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, CAST({n} AS INTEGER) AS range_no FROM orders"
+_FIRST = "(SELECT min(o_orderkey) FROM orders)"
+add("S11_dump", lambda t: extract.extract_table(extract.FrameReader(t.orders), COLS, key="o_orderkey", parts=7, number="range_no"),
+    _RANGED.format(n=f"(o_orderkey - {_FIRST}) // (SELECT CAST(ceil((max(o_orderkey) + 1 - min(o_orderkey)) / 7.0) AS BIGINT) FROM orders)"))
+add("S12_numeric_extract", lambda t: extract.extract_table(
+    extract.FrameReader(t.orders), COLS, "numeric", "o_orderkey", step=2500, number="range_no"),
+    _RANGED.format(n=f"(o_orderkey - {_FIRST}) // 2500"))
 add("S13_timestamp_extract", lambda t: extract.extract_table(
-    extract.frame_reader(t.orders), COLS, "timestamp", "o_orderdate", "2000-01-01 00:00:00", "2001-01-01 00:00:00", period="day"),
-    ALL + " WHERE o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderdate < TIMESTAMP '2001-01-01'")
+    extract.FrameReader(t.orders), COLS, "timestamp", "o_orderdate", "2000-01-01 00:00:00", "2001-01-01 00:00:00", period="day", number="range_no"),
+    _RANGED.format(n="date_sub('day', TIMESTAMP '2000-01-01', o_orderdate)")
+    + " WHERE o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderdate < TIMESTAMP '2001-01-01'")
 add("S14_high_water_mark", lambda t: last_increment_value(t.orders, "o_orderdate").withColumn(
     "none", last_increment_value(t.orders.filter("o_orderkey < 0"), "o_orderkey").scalar()),
     "SELECT max(o_orderdate) AS last_value, CAST(NULL AS BIGINT) AS none FROM orders")

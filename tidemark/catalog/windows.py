@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.catalog.base import ACTIONS, add
 from tidemark.functions.numbers import money
 from tidemark.operators import aggregates, ordered
-from tidemark.sources.extract import extract_table, frame_reader
+from tidemark.sources.extract import FrameReader, extract_table
 
 CUST = ["o_custkey"]
 BY_DATE = ["o_orderdate", "o_orderkey"]
@@ -26,7 +26,8 @@ add("W02_rank", lambda t: ordered.add_rank(
     t.actions.groupBy("unit_id", "lineitem_id").agg(F.count("*").alias("cnt")), ["unit_id"], [("cnt", "desc")]),
     f"WITH {ACTIONS}, c AS (SELECT unit_id, lineitem_id, count(*) AS cnt FROM actions GROUP BY 1, 2) "
     "SELECT *, rank() OVER (PARTITION BY unit_id ORDER BY cnt DESC) AS rank FROM c")
-add("W03_sample_per_group", lambda t: ordered.sample_per_group(t.items, ["feed"], "id", 10, 42).select("feed", "id"))
+add("W03_sample_per_group", lambda t: ordered.sample_per_group(t.items, ["feed"], "id", 10, 42).select("feed", "id"),
+    "SELECT p_brand AS feed, p_partkey AS id FROM part QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY md5(p_partkey || ':42'), p_partkey) <= 10")
 add("W04_lag", lambda t: ordered.add_lag(t.events, "ts", ["user_id"], ["ts", "event_id"], "previous").select("event_id", "previous"),
     "SELECT event_id, lag(ts, 1) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous FROM events")
 add("W05_first_last", lambda t: ordered.first_last_per_key(t.orders, CUST, ["o_orderstatus", "o_totalprice"], BY_DATE),
@@ -50,8 +51,8 @@ add("T01_sort", lambda t: aggregates.sort(t.actions.groupBy("unit_id").agg(F.cou
 add("T02_max_value", lambda t: aggregates.max_value(t.orders, "o_orderdate"),
     "SELECT o_orderdate AS max_value FROM orders ORDER BY 1 DESC LIMIT 1")
 add("T03_pages_as_ranges", lambda t: extract_table(
-    frame_reader(t.orders), ["o_orderkey", "o_totalprice"], "numeric", "o_orderkey", step=1000),
-    "SELECT o_orderkey, o_totalprice FROM orders")
+    FrameReader(t.orders), ["o_orderkey", "o_totalprice"], "numeric", "o_orderkey", step=1000, number="page"),
+    "SELECT o_orderkey, o_totalprice, CAST((o_orderkey - (SELECT min(o_orderkey) FROM orders)) // 1000 AS INTEGER) AS page FROM orders")
 PARTS = "c AS (SELECT p_brand, p_type, l_partkey, count(*) AS cnt FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2, 3)"
 
 

@@ -9,7 +9,7 @@ from tidemark.catalog.merges import LOADS, source, target
 from tidemark.operators.slots import scan_slot
 from tidemark.session import scratch_dir
 from tidemark.sinks import logs, retention, slots, unload
-from tidemark.sources.partitions import read_slots, slot_filter
+from tidemark.sources.partitions import read_slots, slot_dir, slot_filter
 
 COLS = ["event_id", "user_id", "event_type", "value"]
 SCHEMA = "event_id bigint, user_id bigint, event_type string, value double"
@@ -31,15 +31,38 @@ add("K01_slot_write", _days,
 
 
 def _empty(t):
-    path = scratch_dir(t.spark, "empty")
-    found = []
-    for i, kind in enumerate(("view", "nothing")):
-        done = slots.write_slot(t.events.filter(F.col("event_type") == kind).select(*COLS), path, f"2024-01-01 0{i}:00:00", on_empty="skip")
-        found.append(t.spark.read.schema(SCHEMA).parquet(done.path).agg(F.lit(kind).alias("kind"), F.count("*").alias("n")))
-    return found[0].unionByName(found[1])
+    """Each policy meets a slot that already has rows and then gets an empty result."""
+    path, found = scratch_dir(t.spark, "empty"), []
+    views = t.events.filter("event_type = 'view'").select(*COLS)
+    for i, policy in enumerate(("skip", "fail", "keep")):
+        at = f"2024-01-01 0{i}:00:00"
+        slots.write_slot(views, path, at)
+        try:
+            state = f"{slots.write_slot(views.filter('event_id < 0'), path, at, on_empty=policy).rows} rows"
+        except ValueError:
+            state = "error"
+        old = t.spark.read.schema(SCHEMA).parquet(f"{path}/{slot_dir(at)}")
+        found.append(old.agg(F.lit(policy).alias("policy"), F.lit(state).alias("state"), F.count("*").alias("n")))
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
-add("K02_empty_policy", _empty, "SELECT 'view' AS kind, count(*) AS n FROM events WHERE event_type = 'view' UNION ALL SELECT 'nothing', 0")
+add("K02_empty_policy", _empty,
+    "WITH v AS (SELECT count(*) AS n FROM events WHERE event_type = 'view') SELECT 'skip' AS policy, '0 rows' AS state, n FROM v "
+    "UNION ALL SELECT 'fail', 'error', n FROM v UNION ALL SELECT 'keep', '0 rows', 0")
+
+
+def _registered(t):
+    """Slots written into a registered table, one of them twice, are seen by a query of the table."""
+    path = scratch_dir(t.spark, "registered")
+    name = "written_" + path.rsplit("-", 1)[1][:12]
+    for kind, hour in (("view", 0), ("click", 1), ("click", 1)):
+        slots.write_slot(t.events.filter(F.col("event_type") == kind).select(*COLS), path, f"2024-01-01 0{hour}:00:00", table=name)
+    return t.spark.table(name)
+
+
+add("K01_registered_slots", _registered,
+    "SELECT event_id, user_id, event_type, value, CASE event_type WHEN 'view' THEN TIMESTAMP '2024-01-01 00:00:00' "
+    "ELSE TIMESTAMP '2024-01-01 01:00:00' END AS partition_timestamp FROM events WHERE event_type IN ('view', 'click')")
 
 
 def _bucketed(t):
@@ -94,19 +117,19 @@ add("K06_unload", _unload, " UNION ALL ".join(
 
 
 def _rows(t):
-    rows = t.orders.select("o_orderkey", "o_orderdate", "o_orderpriority")
+    """Texts with every character that a form has to protect."""
+    odd = F.concat("o_orderpriority", F.lit('\n|"x"\\'), "o_orderstatus", F.lit("\\n\\\\"))
+    rows = t.orders.select("o_orderkey", "o_orderdate", odd.alias("o_note"))
     parts = []
     for fmt in ("csv", "json", "parquet"):
         path = scratch_dir(t.spark, f"rows-{fmt}")
         unload.write_rows(rows, path, fmt)
-        reader = t.spark.read.schema(rows.schema)
-        read = reader.csv(path, sep="|", header=True, escape="\\") if fmt == "csv" else reader.format(fmt).load(path)
-        parts.append(read.withColumn("fmt", F.lit(fmt)))
+        parts.append(unload.read_rows(t.spark, path, rows.schema, fmt).withColumn("fmt", F.lit(fmt)))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 add("K07_row_serialisers", _rows, " UNION ALL ".join(
-    f"SELECT o_orderkey, o_orderdate, o_orderpriority, '{f}' AS fmt FROM orders" for f in ("csv", "json", "parquet")))
+    f"SELECT o_orderkey, o_orderdate, o_orderpriority || chr(10) || '|\"x\"\\' || o_orderstatus || '\\n\\\\' AS o_note, '{f}' AS fmt FROM orders" for f in ("csv", "json", "parquet")))
 add("K08_jdbc_rows", lambda t: unload.jdbc_rows(source(t), ["o_orderkey", "price"], target(t), ["o_orderkey"]),
     f"WITH {LOADS} SELECT o_orderkey, price FROM target WHERE o_orderkey NOT IN (SELECT o_orderkey FROM source) "
     "UNION ALL SELECT o_orderkey, price FROM source")

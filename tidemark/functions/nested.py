@@ -28,14 +28,15 @@ def json_value(c, path: str) -> Column:
 def try_json_map(c) -> Column:
     """Flat JSON object as a text map; NULL for any other text.
 
-    A nested value makes the whole object invalid, as it does in the source engine's cast.
+    A nested value makes the whole object invalid, as it does in the source engine's cast; whether a value
+    is nested is told by its type, not by its text.
     """
     c = as_col(c)
-    is_object = F.substring(F.trim(c), 1, 1) == "{"
-    parsed = F.from_json(c, "map<string,string>")
-    nested = F.exists(F.map_values(parsed), lambda v: F.substring(v, 1, 1).isin("{", "["))
-    ok = is_object & is_json(c) & ~F.coalesce(nested, F.lit(False))
-    return F.when(ok, parsed)
+    parsed = F.try_parse_json(c)
+    nested = F.exists(F.map_values(F.try_variant_get(parsed, "$", "map<string,variant>")),
+                      lambda v: F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"))
+    ok = F.schema_of_variant(parsed).startswith("OBJECT") & ~F.coalesce(nested, F.lit(False))
+    return F.when(ok, F.from_json(c, "map<string,string>"))
 
 
 def is_json(c) -> Column:

@@ -6,8 +6,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-MAX_ITEMS = 100_000
-
 
 def aggregate(df: DataFrame, keys: list, aggs: dict[str, Column]) -> DataFrame:
     cols = [c.alias(n) for n, c in aggs.items()]
@@ -33,45 +31,31 @@ def any_per_key(df: DataFrame, keys: list[str], cols: list[str], order: list[str
     return df.groupBy(*keys).agg(*[F.any_value(c).alias(c) for c in cols])
 
 
-def agg_joined(df: DataFrame, keys: list[str], col: str, sep: str, out: str, count: str | None = None,
-               order: list[str] | None = None, part: str | None = None, repeat: str | None = None,
-               max_items: int = MAX_ITEMS) -> DataFrame:
-    """Items of each group as one separated text, in a stated order.
+def item_list(df: DataFrame, keys: list[str], col: str, order: list | None = None, out: str = "item",
+              position: str = "position", count: str = "n") -> DataFrame:
+    """Items of each group in long form: key, position in a stated order, item, and the group's count.
 
-    ``repeat`` names a column that says how often the item occurs, so that copies can be counted
-    before they are shuffled. A cell has to fit into a row: with ``part``, a group of more than about
-    ``max_items`` different items comes back as several rows numbered by ``part``, and nothing is
-    dropped. Without it the caller vouches for small groups.
+    One shape for groups of any size: nothing is gathered into a cell. A group that holds only NULLs
+    keeps one row, without position and item and with count 0.
     """
+    from tidemark.operators.ordered import add_row_number
+    sizes = df.groupBy(*keys).agg(F.count(col).alias(count))
+    items = df.filter(F.col(col).isNotNull())
+    placed = add_row_number(items, keys, order or [col], "__at").select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__at").cast("bigint").alias(position), F.col(col).alias(out))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+    return placed.join(sizes, same, "right").select(*keys, position, out, count)
+
+
+def joined_top(df: DataFrame, keys: list[str], col: str, sep: str, out: str, count: str, n: int,
+               order: list | None = None) -> DataFrame:
+    """The first n items of each group as one separated text, and how many they are."""
+    from tidemark.operators.ordered import add_row_number, top_n
     order = order or [col]
-    rows, grain = df.filter(F.col(col).isNotNull()), list(keys)
-    if part:
-        sizes = rows.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") > max_items)
-        big = sizes.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-                           F.ceil(F.col("__n") / F.lit(max_items)).cast("int").alias("__parts"))
-        on = reduce(lambda a, b: a & b,
-                    [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
-        number = F.pmod(F.xxhash64(col, *order), F.coalesce(F.col("__parts"), F.lit(1))).cast("int")
-        grain.append(part)
-        # Shuffled by part as well: the join's partitioning alone would bring a big group together again.
-        rows = rows.join(big, on, "left").withColumn(part, number).repartition(*grain)
-    times = F.col(repeat).cast("int") if repeat else F.lit(1)
-    sorted_items = F.sort_array(F.collect_list(F.struct(
-        *[F.col(o).alias(f"o{i}") for i, o in enumerate(order)],
-        F.col(col).cast("string").alias("item"), times.alias("times"))))
-    if repeat:
-        items = F.flatten(F.transform(sorted_items, lambda x: F.array_repeat(x["item"], x["times"])))
-    else:
-        items = F.transform(sorted_items, lambda x: x["item"])
-    aggs = [F.array_join(items, sep).alias(out)]
-    if count:
-        aggs.append(F.sum(times.cast("bigint")).alias(count))
-    return rows.groupBy(*grain).agg(*aggs)
-
-
-def agg_map(df: DataFrame, keys: list[str], k: str, v: str, out: str) -> DataFrame:
-    """Map of a group's (key, value) pairs; the pairs must be unique by key."""
-    return df.groupBy(*keys).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(k, v)))).alias(out))
+    best = top_n(df.filter(F.col(col).isNotNull()), keys, order, n)
+    placed = add_row_number(best, keys, order, "__at", bucket=False)
+    items = F.array_sort(F.collect_list(F.struct("__at", F.col(col).cast("string").alias("item"))))
+    return placed.groupBy(*keys).agg(F.array_join(F.transform(items, lambda x: x["item"]), sep).alias(out), F.count("*").alias(count))
 
 
 def pivot_last(df: DataFrame, keys: list[str], k: str, v: str, values: dict[str, str],
@@ -81,18 +65,15 @@ def pivot_last(df: DataFrame, keys: list[str], k: str, v: str, values: dict[str,
                                    for name, value in values.items()])
 
 
-def agg_list_distinct(df: DataFrame, keys: list[str], col: str, sep: str, out: str) -> DataFrame:
-    """Distinct values, sorted and joined; deduplicated before they meet in one group."""
-    unique = df.select(*keys, col).distinct()
-    return unique.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(col)), sep).alias(out))
+def distinct_list(df: DataFrame, keys: list[str], col: str, out: str = "item") -> DataFrame:
+    """Distinct values of each group in long form, numbered in order, with their count."""
+    return item_list(df.select(*keys, col).distinct(), keys, col, out=out)
 
 
-def agg_list(df: DataFrame, keys: list[str], cols: dict[str, str], sep: str, order: list[str]) -> DataFrame:
-    """Several columns of a group as separated texts in the same row order."""
-    rows = F.sort_array(F.collect_list(F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)],
-                                                *[F.col(c).cast("string").alias(n) for n, c in cols.items()])))
-    gathered = df.groupBy(*keys).agg(rows.alias("__r"))
-    return gathered.select(*keys, *[F.array_join(F.col("__r")[n], sep).alias(n) for n in cols])
+def first_distinct(df: DataFrame, keys: list[str], col: str, sep: str, out: str, n: int = 100) -> DataFrame:
+    """The first n distinct values of each group, sorted and joined."""
+    unique = df.select(*keys, col).distinct()
+    return joined_top(unique, keys, col, sep, out, "__n", n).drop("__n")
 
 
 def find_duplicates(df: DataFrame, keys: list[str], out: str = "cnt") -> DataFrame:

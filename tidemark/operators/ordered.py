@@ -1,17 +1,20 @@
 """Numbering, lag and running sums over keys that may be hot.
 
-A plain window puts a whole key into one task. Here the keys that hold a large share of all rows are
-cut into ordered buckets (equal ranges of the first ordering column); the window runs per (key,
-bucket), and what one bucket needs from the earlier ones (a count, a sum, a last value) is taken from
-a summary with one row per (hot key, bucket). Other keys stay whole, in one bucket. The result is
-exact: buckets never overlap in the order. ``bucket`` may be given as any column that never decreases
-along the order, and then cuts every key; ``bucket=False`` uses the plain window, for groups known to
-be small.
+A plain window puts a whole key into one task. Here one aggregate counts the rows of every key; keys that
+hold more than one n-th of all rows (there are fewer than n of them, n being the number of shuffle
+partitions and 64 at least) are cut into ranges of the first ordering column. The ranges' bounds are
+approximate quantiles of the key's own rows, so uneven or odd values don't matter; equal values share a
+range, and the ranges are disjoint and ordered, so results are exact whatever the bounds. The window runs
+per (key, range), and what one range needs from the earlier ones (a count, a sum, a last value) is taken
+from a summary with one row per (hot key, range). Without a hot key this is the plain window, and the
+input is read twice: once for the counts, once for the window. ``bucket`` may be given as any column that
+never decreases along the order, and then cuts every key; ``bucket=False`` uses the plain window, for
+groups known to be small.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 from pyspark.sql import types as T
 
 RANGES = 64
@@ -31,26 +34,15 @@ def _direction(name: str, way: str) -> Column:
     return F.col(name).desc() if way == "desc" else F.col(name).asc()
 
 
-def value_range(df: DataFrame, name: str, bounds: DataFrame | None = None) -> Column:
-    """Number of the equal-width range a value falls into, between the column's extremes.
-
-    There are as many ranges as shuffle partitions, so a key that holds a third of all rows is spread
-    over about as many tasks. The extremes are one aggregate over one column; ``bounds`` names a
-    cheaper frame with the same extremes, such as the input of a distinct. NULL joins the lowest
-    range, where it sorts anyway.
-    """
-    ranges = _ranges(df)
-    x = _as_number(df.schema[name].dataType, name)
-    low, high = F.min(x), F.max(x)
-    span = (bounds if bounds is not None else df).agg(
-        F.struct(low.alias("low"), (F.lit(ranges) / F.nullif(high - low, F.lit(0.0))).alias("scale"))).scalar()
-    place = (x - F.lit(span)["low"]) * F.lit(span)["scale"]
-    return F.coalesce(F.floor(place), F.lit(0)).cast("int")
-
-
 def _as_number(kind: T.DataType, name: str) -> Column:
+    """A number that never decreases along the column's order; texts by their first seven bytes."""
     if isinstance(kind, T.NumericType):
         return F.col(name).cast("double")
+    if isinstance(kind, T.BooleanType):
+        return F.col(name).cast("int").cast("double")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        head = F.substring(F.col(name).cast("binary"), 1, 7)
+        return F.conv(F.rpad(F.hex(head), 14, "0"), 16, 10).cast("double")
     return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
 
 
@@ -58,26 +50,71 @@ def _ranges(df: DataFrame) -> int:
     return max(RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _grouped(df: DataFrame, part: list[str], order: list, bucket, bounds: DataFrame | None = None) -> DataFrame | None:
+def bounds_of(df: DataFrame, part: list[str], name: str) -> list[tuple]:
+    """(key values, inner bounds) of every hot key: fewer than n keys, with at most RANGES bounds each.
+
+    Without key columns the whole frame is one key. Two actions: a count of every key that combines
+    before the shuffle, and, if some key is hot, a quantile sketch of the hot keys' rows only.
+    """
+    n, x = _ranges(df), _as_number(df.schema[name].dataType, name)
+    grid = F.percentile_approx(x, [i / RANGES for i in range(1, RANGES)], F.lit(20 * RANGES)).alias("__q")
+    if not part:
+        found = df.agg(grid).first()["__q"]
+        return [((), sorted(set(found)))] if found else []
+    total = Observation()
+    counts = df.groupBy(*part).agg(F.count("*").alias("__n")).observe(total, F.sum("__n").alias("n"))
+    largest = counts.orderBy(F.desc("__n")).limit(n).collect()
+    hot = [r for r in largest if r["__n"] * n > total.get["n"]] if largest else []
+    if not hot:
+        return []
+    hit = _marked(df, part, [(tuple(r[k] for k in part), None) for r in hot]).filter(_CUT)
+    return [(tuple(r[k] for k in part), sorted(set(r["__q"] or []))) for r in hit.groupBy(*part).agg(grid).collect()]
+
+
+def value_range(df: DataFrame, name: str) -> Column:
+    """Number of the range a value falls into, between approximate quantiles of the column."""
+    found, x = bounds_of(df, [], name), _as_number(df.schema[name].dataType, name)
+    bounds = F.lit(found[0][1] if found else []).cast("array<double>")
+    return F.coalesce(F.size(F.filter(bounds, lambda b: b < x)), F.lit(0))
+
+
+def _marked(df: DataFrame, part: list[str], found: list[tuple]) -> DataFrame:
+    """Add whether a row's key is one of ``found``, and that key's bounds."""
+    if not part:
+        bounds = F.lit(found[0][1]) if found and found[0][1] else F.lit(None)
+        return df.withColumns({_CUT: F.lit(True), "__bounds": bounds.cast("array<double>")})
+    fields = [T.StructField(f"__h{i}", df.schema[k].dataType) for i, k in enumerate(part)]
+    schema = T.StructType([*fields, T.StructField("__bounds", T.ArrayType(T.DoubleType())), T.StructField(_CUT, T.BooleanType())])
+    hot = df.sparkSession.createDataFrame([(*key, bounds or [], True) for key, bounds in found], schema)
+    same = F.lit(True)
+    for i, k in enumerate(part):
+        same = same & F.col(k).eqNullSafe(F.col(f"__h{i}"))
+    joined = df.join(F.broadcast(hot), same, "left").drop(*[f"__h{i}" for i in range(len(part))])
+    return joined.withColumn(_CUT, F.coalesce(F.col(_CUT), F.lit(False)))
+
+
+def _grouped(df: DataFrame, part: list[str], order: list, bucket, source: DataFrame | None = None) -> DataFrame | None:
     """Add the columns of a row's (key, bucket) and whether its key is cut; None for a plain window.
 
-    Each key column becomes a filled value and a NULL flag. Plain equality then treats NULL as a key,
-    as a window does, and the window, the summary and the join between them share one partitioning.
+    ``source`` names a frame with the same keys and values that is cheaper to count. Each key column
+    becomes a filled value and a NULL flag. Plain equality then treats NULL as a key, as a window does,
+    and the window, the summary and the join between them share one partitioning.
     """
     name, _ = _pair(order[0])
-    kinds = (T.TimestampType, T.TimestampNTZType, T.DateType, T.NumericType)
-    if bucket is False or (bucket is None and not isinstance(df.schema[name].dataType, kinds)):
+    if bucket is False:
         return None
-    cut, rows = F.lit(True), df
+    rows, cut = df, F.lit(True)
     if bucket is None:
-        bucket = value_range(df, name, bounds)
-        if part:
-            rows = _mark_hot(df, part)
-            cut = F.coalesce(F.col(_CUT), F.lit(False))
-            bucket = F.when(cut, bucket).otherwise(F.lit(0))
+        found = bounds_of(df if source is None else source, part, name)
+        if not found:
+            return None
+        rows, cut = _marked(df, part, found), F.col(_CUT)
+        x = _as_number(df.schema[name].dataType, name)
+        below = F.size(F.filter("__bounds", lambda b: b < x))
+        bucket = F.when(cut & x.isNotNull(), F.greatest(below, F.lit(0))).otherwise(F.lit(0))
     keys = {f"__g{i}": _filled(df, p) for i, p in enumerate(part)}
     flags = {f"__f{i}": F.isnull(p) for i, p in enumerate(part)}
-    return rows.withColumns({_CUT: cut, _B: bucket} | keys | flags)
+    return rows.withColumns({_CUT: cut, _B: bucket} | keys | flags).drop("__bounds")
 
 
 def _filled(df: DataFrame, name: str) -> Column:
@@ -97,22 +134,6 @@ def _group(part: list[str]) -> list[str]:
     return [*_key(part), _B]
 
 
-def _mark_hot(df: DataFrame, part: list[str]) -> DataFrame:
-    """Flag the rows of keys that hold more than one n-th of all rows.
-
-    There are fewer than n such keys, n being the number of shuffle partitions (64 at least), so the
-    broadcast is bounded whatever the data.
-    """
-    counts = df.groupBy(*part).agg(F.count("*").alias("__n"))
-    total = counts.agg(F.sum("__n")).scalar()
-    hot = counts.filter(F.col("__n") * _ranges(df) > total).select(
-        *[F.col(p).alias(f"__h{i}") for i, p in enumerate(part)], F.lit(True).alias(_CUT))
-    same = F.lit(True)
-    for i, p in enumerate(part):
-        same = same & F.col(p).eqNullSafe(F.col(f"__h{i}"))
-    return df.join(F.broadcast(hot), same, "left").drop(*[f"__h{i}" for i in range(len(part))])
-
-
 def _attach(rows: DataFrame, summary: DataFrame, part: list[str]) -> DataFrame:
     """Add a summary's columns to the rows of its group; keys that are not cut have none."""
     return rows.join(summary, _group(part), "left")
@@ -194,7 +215,7 @@ def add_lag(df: DataFrame, col: str, part: list[str], order: list, out: str, buc
 
 
 def sessionize(df: DataFrame, keys: list[str], col: str, gap_seconds: int, out: str = "session_id",
-               bucket=None, bounds: DataFrame | None = None) -> DataFrame:
+               bucket=None, source: DataFrame | None = None) -> DataFrame:
     """Number sessions per key; a gap of exactly ``gap_seconds`` stays in one session.
 
     Whole seconds are compared. The summary has one row per hot key and time range.
@@ -204,7 +225,10 @@ def sessionize(df: DataFrame, keys: list[str], col: str, gap_seconds: int, out:
         return F.when(previous.isNull(), 1).when(gap > gap_seconds, 1).otherwise(0)
 
     order = [col]
-    grouped = _grouped(df, keys, order, F.lit(0) if bucket is False else bucket, bounds)
+    grouped = _grouped(df, keys, order, F.lit(0) if bucket is False else bucket, source)
+    if grouped is None:
+        grouped = _grouped(df, keys, order, F.lit(0))
+        grouped = grouped.withColumn(_CUT, F.lit(False))
     window = Window.partitionBy(*_group(keys)).orderBy(col)
     previous = F.lag(col).over(window)
     marked = grouped.withColumn("__new", F.when(previous.isNull(), 0).otherwise(opens(previous, F.col(col))))
@@ -248,5 +272,5 @@ def last_n(df: DataFrame, part: list[str], order: list[str], n: int, ties: str =
 
 def sample_per_group(df: DataFrame, part: list[str], id_col: str, n: int, seed: int) -> DataFrame:
     """n random rows of each group; hashing the id with the seed makes a rerun give the same rows."""
-    drawn = df.withColumn("__h", F.xxhash64(F.col(id_col), F.lit(seed)))
+    drawn = df.withColumn("__h", F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}"))))
     return top_n(drawn, part, ["__h", id_col], n).drop("__h")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.text import csv_record
 from tidemark.functions.times import diff_complete, shift_ts, ts
-from tidemark.operators.aggregates import agg_joined
+from tidemark.operators.aggregates import item_list
 from tidemark.operators.joins import anti_join, union_all
 from tidemark.operators.ordered import last_n, running_sum, top_n, value_range
 from tidemark.operators.slots import drop_late
@@ -132,7 +132,7 @@ def recent_window(df: DataFrame, time: str, end, days: int) -> DataFrame:
 
 def user_histories(labels: DataFrame, end, days: int = 28, n: int = 200,
                    crc: DataFrame | None = None, categories: DataFrame | None = None) -> DataFrame:
-    """Newest n labels of each user as '|'-joined records of nine fields, newest first.
+    """Newest n labels of each user as records of nine fields, numbered from the newest; ties beyond n stay.
 
     ``crc`` (viewer_id, crc) restricts to known users and adds their bucket; ``categories``
     (product_id, category) adds the user's most frequent category, ties kept.
@@ -144,7 +144,7 @@ def user_histories(labels: DataFrame, end, days: int = 28, n: int = 200,
                         "user_action", "is_occurred", "reward_condition", stamp)
     ordered = kept.select("viewer_id", record.alias("history"),
                           F.timestamp_diff("MICROSECOND", F.col("occurred_at"), ts(end)).alias("__age"))
-    out = agg_joined(ordered, ["viewer_id"], "history", "|", "histories", "count", order=["__age", "history"])
+    out = item_list(ordered, ["viewer_id"], "history", ["__age", "history"], out="history", count="count")
     if crc is not None:
         out = out.join(crc.select("viewer_id", "crc").distinct(), "viewer_id")
     if categories is not None:
@@ -184,7 +184,7 @@ def inactive_days(users: DataFrame, events: DataFrame, now, end, actions: list[s
 
 
 def baskets(labels: DataFrame, end, days: int = 28, feed=None, action: str = "purchase_from_view_detail") -> DataFrame:
-    """Products each user bought, without the rarest product.
+    """Products each user bought, without the rarest product: one row per user and product, numbered.
 
     Products are ordered by buyers, most first; a product stays while the cumulative count is below
     the total. The running sum runs over count levels and ranges of product ids, not over one task.
@@ -199,4 +199,4 @@ def baskets(labels: DataFrame, end, days: int = 28, feed=None, action: str = "pu
     total = counts.agg(F.sum("cnt")).scalar()
     kept = summed.filter(F.col("acc") < total).select("product_id")
     rows = bought.join(kept, "product_id", "left_semi")
-    return agg_joined(rows, ["viewer_id"], "product_id", "|", "product_ids", "product_count", part="part")
+    return item_list(rows, ["viewer_id"], "product_id", out="product_id", count="product_count")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.numbers import int_div, money, safe_ratio
 from tidemark.functions.times import business_day, trunc_ts, ts
-from tidemark.operators.aggregates import agg_list_distinct, conditional_agg, merge_measures
+from tidemark.operators.aggregates import conditional_agg, first_distinct, merge_measures
 from tidemark.operators.joins import attribute, enrich, lookback_join, offset_join, union_all
 from tidemark.operators.ordered import running_sum
 
@@ -70,8 +70,8 @@ def extended_budgets(groups: DataFrame, extra: DataFrame, lineitems: DataFrame,
     kinds = {"compensation_budget": "C", "addition_budget": "A", "promotion_budget": "P", "carryover_budget": "O"}
     extras = conditional_agg(extra, ["ad_group_id"], {
         n: (F.col("extra_budget_type") == k, F.col("budget")) for n, k in kinds.items()})
-    types = agg_list_distinct(lineitems, ["ad_group_id"], "revenue_type", ",", "revenue_types")
-    currencies = agg_list_distinct(lineitems, ["ad_group_id"], "currency", ",", "currencies")
+    types = first_distinct(lineitems, ["ad_group_id"], "revenue_type", ",", "revenue_types")
+    currencies = first_distinct(lineitems, ["ad_group_id"], "currency", ",", "currencies")
     named = enrich(groups, [(users, "id", "sales_manager_id", {"sales_manager_name": "name"}),
                             (users, "id", "owner_id", {"owner_name": "name"})])
     joined = (named.withColumnRenamed("id", "ad_group_id").join(extras, "ad_group_id", "left")
@@ -126,23 +126,29 @@ def expire_points(expiries: DataFrame, ledger: DataFrame) -> DataFrame:
 
     Expiries are (person_id, version, expire_date, amount), several per person possible; the ledger is
     (person_id, version, created_at, collected). Ledger rows are first summed per month and per
-    stretch between two expiries, so a person's rows never meet each of their expiries.
+    stretch between two expiries and accumulated per month, so that every (expiry, month) is formed
+    once and a person's rows never meet each of their expiries.
     """
-    marks = expiries.select("person_id", "version", F.lit(1).alias("__e"))
-    tagged = union_all(marks.withColumns({"month": F.lit(None).cast("timestamp_ntz"),
-                                          "collected": F.lit(0).cast("decimal(27,9)")}),
-                       ledger.select("person_id", "version", F.lit(0).alias("__e"),
-                                     trunc_ts("created_at", "month").alias("month"),
-                                     money("collected").alias("collected")))
+    none, when = F.lit(None), expiries.schema["expire_date"].dataType
+    marks = expiries.select("person_id", "version", F.lit(1).alias("__e"), none.cast("timestamp_ntz").alias("month"),
+                            money("amount").alias("amount"), "expire_date")
+    rows = ledger.select("person_id", "version", F.lit(0).alias("__e"), trunc_ts("created_at", "month").alias("month"),
+                         money("collected").alias("amount"), none.cast(when).alias("expire_date"))
     # Expiries before a row: a row at the expiry's own version does not count towards it.
     order = ["version", ("__e", "desc")]
-    stretch = running_sum(tagged, "__e", ["person_id"], order, "__stretch").filter(F.col("__e") == 0)
-    sums = stretch.groupBy("person_id", "month", "__stretch").agg(F.sum("collected").alias("collected"))
-    nth = running_sum(expiries.withColumn("__one", F.lit(1)), "__one", ["person_id"], ["version"], "__nth")
-    e = nth.select("person_id", "expire_date", "__nth", F.col("amount").alias("total"),
-                   F.col("version").alias("__version"))
-    months = e.join(sums, "person_id").filter(F.col("__stretch") < F.col("__nth")).groupBy(
-        "person_id", "expire_date", "__version", "total", "month").agg(F.sum("collected").alias("collected"))
+    tagged = running_sum(union_all(marks, rows), "__e", ["person_id"], order, "__nth")
+    e = tagged.filter(F.col("__e") == 1).select("person_id", "expire_date", "__nth", F.col("amount").alias("total"),
+                                                F.col("version").alias("__version"))
+    sums = tagged.filter(F.col("__e") == 0).groupBy("person_id", "month", F.col("__nth").alias("__after")).agg(
+        F.sum("amount").alias("collected"))
+    # A month's sum so far holds from one of its stretches to the next: each (expiry, month) is made once.
+    by_month = Window.partitionBy("person_id", "month").orderBy("__after")
+    upto = sums.withColumns({"collected": F.sum("collected").over(by_month.rowsBetween(Window.unboundedPreceding, 0)),
+                             "__next": F.lead("__after").over(by_month)})
+    last = e.groupBy("person_id").agg(F.max("__nth").alias("__last"))
+    held = upto.join(last, "person_id").withColumn("__to", F.coalesce("__next", "__last")).filter("__after < __to")
+    each = held.withColumn("__nth", F.explode(F.sequence(F.col("__after") + 1, F.col("__to"))))
+    months = e.join(each.select("person_id", "month", "collected", "__nth"), ["person_id", "__nth"])
     cumulative = running_sum(months, "collected", ["person_id", "__version"], [("month", "desc")], "cum", bucket=False)
     left = F.when(F.col("cum") <= F.col("total"), F.col("collected")).otherwise(
         F.col("collected") - (F.col("cum") - F.col("total")))
@@ -260,7 +266,8 @@ def settle_revenue(stats: DataFrame, costs: DataFrame, contracts: dict[str, Data
     for r in rules:
         wanted = F.when(F.col("account_type") == r.account, r.contract).otherwise(wanted)
     tagged = union_all(*[c.withColumn("__contract", F.lit(n)) for n, c in contracts.items()])
-    joined = summed.withColumn("__contract", wanted).join(tagged, ["unit_id", "__contract"])
+    # An account type without a rule, or a unit without a contract, keeps its sums and has no payouts.
+    joined = summed.withColumn("__contract", wanted).join(tagged, ["unit_id", "__contract"], "left")
 
     def pick(part: str) -> Column:
         out = F.lit(None).cast("decimal(27,9)")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.times import shift_ts, ts
-from tidemark.operators.aggregates import agg_joined
-from tidemark.operators.ordered import add_rank, sample_per_group, top_n
+from tidemark.operators.aggregates import item_list, joined_top
+from tidemark.operators.ordered import add_rank, add_row_number, sample_per_group, top_n
 
 
 def _window(events: DataFrame, end, days: int, time: str) -> DataFrame:
@@ -22,34 +22,29 @@ def popular(events: DataFrame, keys: list[str], n: int = 100, mode: str = "top",
     """
     if mode == "sample":
         drawn = sample_per_group(events, keys, "id", n, seed)
-        return agg_joined(drawn, keys, "id", "|", "product_ids", "product_count")
+        return joined_top(drawn, keys, "id", "|", "product_ids", "product_count", n)
     rows = _window(events, end, days, time).filter(F.col("event_type") == action)
     counts = rows.groupBy(*keys, "product_id").agg(F.count("*").alias("cnt"))
     if mode == "rank":
         return add_rank(counts, keys, [("cnt", "desc")], "rank").drop("cnt")
-    best = top_n(counts, keys, [("cnt", "desc"), "product_id"], n).withColumn("__rare", -F.col("cnt"))
-    return agg_joined(best, keys, "product_id", "|", "product_ids", "product_count",
-                      order=["__rare", "product_id"])
+    return joined_top(counts, keys, "product_id", "|", "product_ids", "product_count", n, [("cnt", "desc"), "product_id"])
 
 
 def recent_products(events: DataFrame, actions: dict[str, str], end, days: int = 14,
                     time: str = "event_time") -> DataFrame:
-    """Per user and feed, the products of each action (output name -> event type) and their number.
+    """Per user, feed and action (output name -> event type), each product with how often it occurs.
 
-    Repeats are counted before the shuffle and written out again in the list. A conditional
-    aggregate per action replaces the chain of full joins. ``part`` numbers the rows of a user with
-    more products than one cell should hold.
+    Long form: products are numbered in order and carry the user's number of events of the action.
     """
-    rows = _window(events, end, days, time).filter(F.col("event_type").isin(*actions.values()))
-    counts = rows.groupBy("viewer_id", "product_feed_id", "event_type", "product_id").agg(F.count("*").alias("n"))
-    lists = agg_joined(counts, ["viewer_id", "product_feed_id", "event_type"], "product_id", "|", "ids", "cnt",
-                       part="part", repeat="n")
-    aggs = []
-    for name, kind in actions.items():
-        hit = F.col("event_type") == kind
-        aggs += [F.max(F.when(hit, F.col("ids"))).alias(f"{name}_product_ids"),
-                 F.coalesce(F.max(F.when(hit, F.col("cnt"))), F.lit(0)).alias(f"{name}_count")]
-    return lists.groupBy("viewer_id", "product_feed_id", "part").agg(*aggs)
+    name = F.lit(None).cast("string")
+    for label, kind in actions.items():
+        name = F.when(F.col("event_type") == kind, label).otherwise(name)
+    keys = ["viewer_id", "product_feed_id", "action"]
+    rows = _window(events, end, days, time).filter(F.col("event_type").isin(*actions.values())).withColumn("action", name)
+    counts = rows.groupBy(*keys, "product_id").agg(F.count("*").alias("times"))
+    totals = counts.groupBy(*keys).agg(F.sum("times").alias("action_count"))
+    placed = add_row_number(counts, keys, ["product_id"], "position")
+    return placed.join(totals, keys)
 
 
 def user_top_category(events: DataFrame, end, actions: list[str], days: int = 28,

@@ -136,7 +136,7 @@ def user_sessions(actions: DataFrame, keys: list[str], gap_seconds: int, kinds:
     from tidemark.functions.times import diff_boundaries
     from tidemark.operators.ordered import sessionize
     numbered = sessionize(actions.select(*keys, "created_at", "action").distinct(), keys, "created_at",
-                          gap_seconds, bounds=actions)
+                          gap_seconds, source=actions)
     rows = numbered.groupBy(*keys, "session_id").agg(
         F.min("created_at").alias("start_time"), F.max("created_at").alias("end_time"),
         *[F.count_if(F.col("action") == kind).alias(n) for n, kind in kinds.items()])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -45,24 +44,15 @@ def local_session(cores: str = "8", partitions: int = 8, app: str = "tidemark",
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """New folder under the shared checkpoint folder the cluster names.
+    """New folder under the shared folder that spark.checkpoint.dir names.
 
-    A machine-local folder is used only by a local master that names none.
+    Where the setting is missing, the folder given to ``SparkContext.setCheckpointDir`` is used.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="run-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return f"{require_folder(base).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
-def cut_lineage(df, name: str = "stage"):
-    """Write an intermediate result to the shared folder and read it back.
 
-    The written files outlive any executor, so a lost executor never forces a recomputation of
-    what lies before this point.
-    """
-    path = scratch_dir(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def require_folder(base: str | None) -> str:
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors can reach")
+    return base

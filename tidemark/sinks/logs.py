@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
+# The folder layout of the receivers.
 PARTITIONS = ["service", "year", "month", "day", "hour", "log_type"]
 
 

@@ -1,14 +1,15 @@
 """Extracts from an operational store.
 
-A reader is any ``reader(columns, predicates) -> DataFrame``; ``jdbc_reader`` is the real one. Every
-predicate is one partition of the read, so Spark schedules the ranges; nothing is paged with OFFSET.
+A reader has ``rows(columns, predicates)`` and ``bounds(key)``. Every predicate is one partition of the
+read, so Spark schedules the ranges; nothing is paged with OFFSET.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.times import to_datetime
 
@@ -16,80 +17,107 @@ STEP_ROWS = 10_000
 FETCH_ROWS = 10_000
 
 
-def jdbc_reader(spark: SparkSession, url: str, table: str, properties: dict[str, str]):
-    """Reader over a JDBC table; projection and predicates run in the store."""
-    props = {"fetchsize": str(FETCH_ROWS)} | properties
+@dataclass(frozen=True)
+class JdbcReader:
+    """Reader over a JDBC table; projection, predicates and the bounds run in the store."""
+    spark: SparkSession
+    url: str
+    table: str
+    properties: dict[str, str]
 
-    def read(columns: list[str], predicates: list[str] | None) -> DataFrame:
-        if predicates is None:
-            return spark.read.jdbc(url, table, properties=props).select(*columns)
-        return spark.read.jdbc(url, table, predicates=predicates, properties=props).select(*columns)
+    def _props(self) -> dict[str, str]:
+        return {"fetchsize": str(FETCH_ROWS)} | self.properties
 
-    return read
+    def rows(self, columns: list[str], predicates: list[str] | None) -> DataFrame:
+        more = {"predicates": predicates} if predicates is not None else {}
+        return self.spark.read.jdbc(self.url, self.table, properties=self._props(), **more).select(*columns)
 
+    def bounds_query(self, key: str) -> str:
+        """A table expression of one row, so that the store and not the client scans the key."""
+        return f"(SELECT min({key}) AS lo, max({key}) AS hi FROM {self.table}) b"
 
-def frame_reader(df: DataFrame):
+    def bounds(self, key: str) -> tuple:
+        found = self.spark.read.jdbc(self.url, self.bounds_query(key), properties=self._props()).first()
+        return found["lo"], found["hi"]
+
+
+@dataclass(frozen=True)
+class FrameReader:
     """Reader over a DataFrame, for tables that are already in the lake."""
-    def read(columns: list[str], predicates: list[str] | None) -> DataFrame:
-        rows = df if predicates is None else df.filter(" OR ".join(f"({p})" for p in predicates))
+    df: DataFrame
+
+    def rows(self, columns: list[str], predicates: list[str] | None) -> DataFrame:
+        rows = self.df if predicates is None else self.df.filter(" OR ".join(f"({p})" for p in predicates))
         return rows.select(*columns)
 
-    return read
+    def bounds(self, key: str) -> tuple:
+        found = self.df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+        return found["lo"], found["hi"]
 
 
-def extract_table(reader, columns: list[str], mode: str = "dump", key: str | None = None, lower=None,
-                  upper=None, step: int = STEP_ROWS, period: str = "hour", max_parts: int = 10_000) -> DataFrame:
+def extract_table(reader, columns: list[str], mode: str = "dump", key: str | None = None, lower=None, upper=None,
+                  step: int | None = None, parts: int | None = None, period: str = "hour", number: str | None = None) -> DataFrame:
     """Full dump, or the rows of [lower, upper) of an increment key.
 
     When both bounds are equal that single value is read. A numeric extract without bounds reads the
-    key's whole range, its largest value included.
+    key's whole range, its largest value included; a dump with a numeric key is read in such ranges as
+    well, and one without is a single partition. The caller gives the ranges' width (``step``) or their
+    number (``parts``), and gets it. ``number`` adds the number of the range each row was read by.
     """
-    if mode == "dump":
-        return reader(columns, None)
-    if mode == "numeric":
-        return reader(columns, numeric_predicates(key, *_key_range(reader, key, lower, upper), step, max_parts))
-    if mode == "timestamp":
-        return reader(columns, timestamp_predicates(key, lower, upper, period))
-    raise ValueError(f"mode {mode!r} is not dump, numeric or timestamp")
+    if mode == "dump" and key is None:
+        return reader.rows(columns, None)
+    if mode in ("dump", "numeric"):
+        ranges, kind = numeric_ranges(*_key_range(reader, key, lower, upper), step, parts), "bigint"
+    elif mode == "timestamp":
+        ranges, kind = timestamp_ranges(lower, upper, period), "timestamp_ntz"
+    else:
+        raise ValueError(f"mode {mode!r} is not dump, numeric or timestamp")
+    rows = reader.rows(columns, predicates(key, ranges))
+    if number:
+        starts = F.lit([str(a) for a, _ in ranges]).cast(f"array<{kind}>")
+        rows = rows.withColumn(number, F.size(F.filter(starts, lambda a: a <= F.col(key))) - 1)
+    return rows
 
 
 def _key_range(reader, key: str, lower, upper):
     if lower is not None and upper is not None:
         return lower, upper
-    from pyspark.sql import functions as F
-    found = reader([key], None).agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-    if found["lo"] is None:
+    low, high = reader.bounds(key)
+    if low is None:
         return 0, 0
     # One past the largest value, so that the half-open last range holds it.
-    return (found["lo"] if lower is None else lower), (found["hi"] + 1 if upper is None else upper)
+    return (low if lower is None else lower), (high + 1 if upper is None else upper)
 
 
-def numeric_predicates(key: str, lower: int, upper: int, step: int = STEP_ROWS,
-                       max_parts: int = 10_000) -> list[str]:
-    """Half-open ranges; the step grows when the range would need too many partitions."""
+def numeric_ranges(lower: int, upper: int, step: int | None = None, parts: int | None = None) -> list[tuple[int, int]]:
+    """Half-open ranges of a given width, or a given number of them; the last one is cut at the upper bound."""
     if lower > upper:
         raise ValueError(f"lower {lower} is above upper {upper}")
     if lower == upper:
-        return [f"{key} = {lower}"]
-    step = max(step, -(-(upper - lower) // max_parts))
-    return [f"{key} >= {a} AND {key} < {min(a + step, upper)}" for a in range(lower, upper, step)]
+        return [(lower, upper)]
+    if parts is not None:
+        step = -(-(upper - lower) // parts)
+    step = step or STEP_ROWS
+    return [(a, min(a + step, upper)) for a in range(lower, upper, step)]
 
 
-def timestamp_predicates(key: str, lower, upper, period: str = "hour") -> list[str]:
+def timestamp_ranges(lower, upper, period: str = "hour") -> list[tuple[datetime, datetime]]:
     """Half-open hour or day windows, the last one cut at the upper bound."""
     lo, hi = to_datetime(lower), to_datetime(upper)
     if lo > hi:
         raise ValueError(f"lower {lo} is above upper {hi}")
-    if lo == hi:
-        return [f"{key} = '{_text(lo)}'"]
     width = {"hour": timedelta(hours=1), "day": timedelta(days=1)}[period]
-    out, at = [], lo
+    out, at = [(lo, hi)] if lo == hi else [], lo
     while at < hi:
-        nxt = min(at + width, hi)
-        out.append(f"{key} >= '{_text(at)}' AND {key} < '{_text(nxt)}'")
-        at = nxt
+        out.append((at, min(at + width, hi)))
+        at = out[-1][1]
     return out
 
 
-def _text(at: datetime) -> str:
-    return at.strftime("%Y-%m-%d %H:%M:%S")
+def predicates(key: str, ranges: list[tuple]) -> list[str]:
+    """One predicate for each range; equal bounds mean that single value."""
+    return [f"{key} = {_text(a)}" if a == b else f"{key} >= {_text(a)} AND {key} < {_text(b)}" for a, b in ranges]
+
+
+def _text(at) -> str:
+    return f"'{at:%Y-%m-%d %H:%M:%S}'" if isinstance(at, datetime) else str(at)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 from pathlib import Path
@@ -63,7 +64,7 @@ def main() -> int:
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     prefixes = sys.argv[2:]
     folder = f"/root/testdata/sf{sf}"
-    spark, con, bad = local_session(), connect(folder), 0
+    spark, con, bad = local_session(scratch=tempfile.mkdtemp(prefix="verify-")), connect(folder), 0
     for key, query in load_all().items():
         if prefixes and not any(key.startswith(p) for p in prefixes):
             continue
