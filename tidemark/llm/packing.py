@@ -25,22 +25,26 @@ from tidemark.llm.storage import saved
 
 SHARD = 16_384
 FULL = 0.97
-MAX_WORDS = 250_000
+MAX_WORDS, MAX_CORES = 200_000, 800_000
 LONGEST_KEPT = 64
 SPECIAL, MARKS = b"<|", b".,;:!?"
 
 
 class WordIds(dict):
-    """Packed ids (uint32, little-endian) of the words met lately, in two generations."""
+    """Packed ids (uint32, little-endian) of the words met lately, in two generations.
+
+    A new word's upper case and end marks are taken off first, as the words so left are fewer: the
+    tokenizer lower-cases, and splits between a letter and a mark. Those have a table of their own.
+    """
 
     def __init__(self, path: str):
         super().__init__()
-        self.tokenizer, self.older = Tokenizer.from_file(path), {}
+        self.tokenizer, self.older, self.cores = Tokenizer.from_file(path), {}, {}
 
     def __missing__(self, word: bytes) -> bytes:
         packed = self.older.get(word)
         if packed is None:
-            packed = self._encode(word)
+            packed = self._encode(word) if SPECIAL in word or len(word) > LONGEST_KEPT else self._composed(word)
         if len(self) >= MAX_WORDS:
             self.older = dict(self)
             self.clear()
@@ -48,18 +52,28 @@ class WordIds(dict):
             self[word] = packed
         return packed
 
+    def _composed(self, word: bytes) -> bytes:
+        lower = word.lower()
+        core = lower.rstrip(MARKS)
+        if core and core != lower and core.decode()[-1].lower()[-1].isalpha():
+            return self._core(core) + self._core(lower[len(core):])
+        return self._core(lower)
+
+    def _core(self, core: bytes) -> bytes:
+        packed = self.cores.get(core)
+        if packed is None:
+            if len(self.cores) >= MAX_CORES:
+                self.cores.clear()
+            packed = self.cores[core] = self._encode(core)
+        return packed
+
     def _encode(self, word: bytes) -> bytes:
-        """Ids of a new word; upper case and marks at its end are taken off first, as the words so left
-        are fewer. The tokenizer lower-cases, and splits between a letter and a mark."""
-        if SPECIAL not in word:
-            lower = word.lower()
-            if lower != word:
-                return self[lower]
-            core = word.rstrip(MARKS)
-            if core and core != word and core.decode()[-1].lower()[-1].isalpha():
-                return self[core] + self[word[len(core):]]
         return array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
 
+    def ids(self, text: bytes) -> bytes:
+        """Packed ids of a whole text."""
+        return b"".join(map(self.__getitem__, text.split()))
+
 
 @cache
 def _word_ids(path: str) -> WordIds:
@@ -86,7 +100,7 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int, id_col: str =
                 part = batch.slice(first, 512)
                 rows, number, start, ids = [], [], [], []
                 for row, text in enumerate(part.column("__text").cast(pa.binary()).to_pylist()):
-                    packed = b"".join(map(table.__getitem__, text.split())) + end if text else end
+                    packed = table.ids(text or b"") + end
                     for k, at in enumerate(range(0, len(packed), width)):
                         rows.append(row)
                         number.append(k)
