@@ -80,17 +80,22 @@ add("S06_regex_log", lambda t: text.parse_regex_log(log_lines(t), "line", LOG, [
 
 
 def _delimited(t):
-    rows = t.part.select("p_partkey", F.concat("p_name", F.lit('|"x"')).alias("p_name"), F.nullif("p_type", F.lit("ECONOMY")).alias("p_type"))
-    path, schema = scratch_dir(t.spark, "pipe"), "p_partkey bigint, p_name string, p_type string"
-    rows.write.options(**text.DELIMITED["pipe"], nullValue="").option("quoteAll", "true").csv(path)
-    tab = scratch_dir(t.spark, "tab")
-    rows.write.options(**text.DELIMITED["tab"], nullValue="", compression="gzip").csv(tab)
-    a = text.read_delimited(t.spark, path, schema, "pipe").withColumn("preset", F.lit("pipe"))
-    return a.unionByName(text.read_delimited(t.spark, tab, schema, "tab").withColumn("preset", F.lit("tab")))
-
-
+    """Every preset, with odd texts, NULLs and epoch times; the tab files are gzip, and notes are cut."""
+    rows = t.orders.select("o_orderkey", F.concat("o_orderpriority", F.lit("|,\t'x")).alias("o_note"), F.nullif("o_orderstatus", F.lit("O")).alias("o_status"),
+                           F.expr("unix_seconds(cast(o_orderdate as timestamp))").alias("o_at"))
+    schema, out = "o_orderkey bigint, o_note string, o_status string, o_at timestamp_ntz", None
+    for preset, options in text.DELIMITED.items():
+        path, zipped = scratch_dir(t.spark, preset), {"compression": "gzip"} if preset == "tab" else {}
+        rows.write.options(**options, **zipped, nullValue="", quoteAll="true").csv(path)
+        read = text.read_delimited(t.spark, path, schema, preset, "epochsecs", {"o_note": 11}).withColumn("preset", F.lit(preset))
+        out = read if out is None else out.unionByName(read)
+    return out
+
+
+_NOTE = "left(o_orderpriority || '|,' || chr(9) || chr(39) || 'x', 11) AS o_note"
 add("S07_delimited", _delimited, " UNION ALL ".join(
-    f"SELECT p_partkey, p_name || '|\"x\"' AS p_name, nullif(p_type, 'ECONOMY') AS p_type, '{p}' AS preset FROM part" for p in ("pipe", "tab")))
+    f"SELECT o_orderkey, {_NOTE}, nullif(o_orderstatus, 'O') AS o_status, date_trunc('second', o_orderdate) AS o_at, '{p}' AS preset FROM orders"
+    for p in text.DELIMITED))
 
 
 def _json_paths(t):

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 from tidemark.functions.text import try_whole
 from tidemark.functions.times import epoch_to_ts
 
-# Reader options by preset.
+# Reader options by preset, as the senders write them.
 DELIMITED = {
     "comma": {"sep": ",", "header": "true", "escape": "\\"},
     "pipe": {"sep": "|", "header": "true", "escape": "\\"},
@@ -26,10 +26,21 @@ def read_json_lines(spark: SparkSession, path, schema, on_error: str = "null") -
     return spark.read.schema(schema).option("mode", mode).json(path)
 
 
-def read_delimited(spark: SparkSession, path, schema, preset: str = "pipe") -> DataFrame:
-    """Separated text; an empty field is NULL. Gzip files are recognised by their suffix."""
+def read_delimited(spark: SparkSession, path, schema, preset: str = "pipe", timeformat: str = "auto",
+                   widths: dict[str, int] | None = None) -> DataFrame:
+    """Separated text; an empty field is NULL. Gzip files are recognised by their suffix.
+
+    Timestamps are text (``auto``) or whole epoch seconds or milliseconds (``epochsecs``,
+    ``epochmillisecs``); ``widths`` cuts texts to a declared width.
+    """
     options = DELIMITED[preset] | {"nullValue": "", "emptyValue": "", "multiLine": "false"}
-    return spark.read.schema(schema).options(**options).csv(path)
+    wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    epoch = timeformat in ("epochsecs", "epochmillisecs")
+    times = {f.name for f in wanted.fields if epoch and isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))}
+    raw = StructType([T.StructField(f.name, T.LongType() if f.name in times else f.dataType) for f in wanted.fields])
+    rows = spark.read.schema(raw).options(**options).csv(path)
+    cut = {c: F.substring(c, 1, w) for c, w in (widths or {}).items()}
+    return rows.withColumns(cut | {c: epoch_to_ts(F.col(c), "s" if timeformat == "epochsecs" else "ms") for c in times})
 
 
 def parse_regex_log(df: DataFrame, line: str, pattern: str, names: list[str]) -> DataFrame:
