@@ -51,9 +51,11 @@ def not_in(left: DataFrame, right: DataFrame, col: str, right_col: str | None =
     it depends on (is the right side empty, does it hold a NULL) come from a one-row aggregate.
     """
     r = F.col(right_col or col)
-    facts = right.agg(F.struct(F.count("*").alias("rows"), F.count_if(r.isNull()).alias("nulls")))
-    keys = right.select(r.alias(col)).distinct()
-    rows, nulls = F.lit(facts.scalar())["rows"], F.lit(facts.scalar())["nulls"]
+    # One shuffle of the right side serves both: its distinct keys, NULL among them.
+    keys = right.groupBy(r.alias(col)).agg(F.lit(1).alias("__one"))
+    facts = keys.agg(F.struct(F.count("*").alias("rows"), F.count_if(F.col(col).isNull()).alias("nulls"))).scalar()
+    rows, nulls = F.lit(facts)["rows"], F.lit(facts)["nulls"]
+    keys = keys.drop("__one")
     allowed = (rows == 0) | ((nulls == 0) & F.col(col).isNotNull())
     return left.join(keys, [col], "left_anti").filter(allowed)
 

@@ -6,8 +6,6 @@ import operator
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.aggregates import find_duplicates
-from tidemark.operators.joins import anti_join
 from tidemark.operators.slots import between_half_open
 
 OPERATORS = {"eq": operator.eq, "ge": operator.ge, "gt": operator.gt, "le": operator.le, "lt": operator.lt}
@@ -55,10 +53,19 @@ def check_reconcile(name: str, left: DataFrame, right: DataFrame, left_value: Co
 
 
 def check_dedup(name: str, source: DataFrame, output: DataFrame, keys: list[str]) -> DataFrame:
-    """No source key is lost and no output key is duplicated."""
-    lost = anti_join(source, output, keys).agg(F.count("*"))
-    doubled = find_duplicates(output, keys).agg(F.sum("cnt"))
-    return check_linear(name, lost, "eq", 0, doubled)
+    """No source key is lost and no output key is duplicated: one shuffle of both, counted by key.
+
+    A key with a NULL equals none, so such source rows count as lost.
+    """
+    tagged = source.select(*keys, F.lit(1).alias("__s"), F.lit(0).alias("__o")).unionByName(
+        output.select(*keys, F.lit(0).alias("__s"), F.lit(1).alias("__o")))
+    found = tagged.groupBy(*keys).agg(F.sum("__s").alias("__s"), F.sum("__o").alias("__o"))
+    unmatched = F.lit(False)
+    for k in keys:
+        unmatched = unmatched | F.col(k).isNull()
+    lost = F.when((F.col("__o") == 0) | unmatched, F.col("__s")).otherwise(0)
+    doubled = F.when(F.col("__o") > 1, F.col("__o")).otherwise(0)
+    return check_linear(name, found.agg(F.sum(lost + doubled)), "eq", 0)
 
 
 def check_hours(name: str, df: DataFrame, col: str, hours: int = 24) -> DataFrame:
