@@ -202,58 +202,83 @@ def _root(parent: dict[int, int], x: int) -> int:
     return x
 
 
-def candidates(rows: DataFrame, num: int, den: int, across: bool) -> DataFrame:
-    """Candidate pairs (a < b, key) of the groups of (key, id, n, sketch, comp, side).
+def _alike(table: pa.Table, num: int, den: int, across: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows of one group whose sketches may reach the threshold, and their agreement.
 
-    ``across`` false: a spanning forest of each group's candidates, the most alike first; a pair's
-    ``more`` says that its group has candidates beside the forest. True: all candidates between different
-    components. Pairs of one side (0 and 0, 1 and 1) of a pair of blocks are left out if it has two sides.
+    ``across``: only pairs of different components. Pairs of one side of a pair of blocks are left out.
     """
     share = num / den
     least = int(np.ceil(SKETCH * (share - 3.0 * np.sqrt(share * (1 - share) / SKETCH))))
-
+    ids, n, comp, side = (table[c].to_numpy() for c in ("id", "n", "comp", "side"))
+    sketch = _sketch_rows(table["sketch"].combine_chunks())
+    found = [np.zeros((3, 0), np.int64)]
+    for i, j in _pairs(table["key"].to_numpy()):
+        good = (np.minimum(n[i], n[j]) * den >= np.maximum(n[i], n[j]) * num) & (ids[i] != ids[j])
+        good &= comp[i] != comp[j] if across else True
+        good &= (side[i] != side[j]) | (side[i] < 0)
+        i, j = i[good], j[good]
+        alike = (sketch[i] == sketch[j]).sum(axis=1)
+        ok = alike >= least
+        found.append(np.stack([i[ok], j[ok], alike[ok]]))
+    i, j, alike = np.concatenate(found, axis=1)
+    return i, j, alike
+
+
+def forest(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """A spanning forest (a < b, key) of each group's candidates, the most alike first.
+
+    ``more`` says that the group has candidates beside the forest. Rows are (key, id, n, sketch, comp, side).
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in grouped(batches, "key"):
-            table = table.combine_chunks()
             key, ids = table["key"].to_numpy(), table["id"].to_numpy()
-            n, comp, side = table["n"].to_numpy(), table["comp"].to_numpy(), table["side"].to_numpy()
-            sketch = _sketch_rows(table["sketch"].combine_chunks())
-            found = []
-            for i, j in _pairs(key):
-                good = (np.minimum(n[i], n[j]) * den >= np.maximum(n[i], n[j]) * num) & (ids[i] != ids[j])
-                good &= comp[i] != comp[j] if across else True
-                good &= (side[i] != side[j]) | (side[i] < 0)
-                i, j = i[good], j[good]
-                alike = (sketch[i] == sketch[j]).sum(axis=1)
-                ok = alike >= least
-                found.append(np.stack([i[ok], j[ok], alike[ok]]))
-            pairs = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
-            i, j, alike = pairs
-            more = np.zeros(len(i), bool)
-            if not across and len(i):
-                order = np.lexsort((-alike, key[i]))
-                i, j = i[order], j[order]
-                take, parent, extra = [], {}, set()
-                for at, (x, y) in enumerate(zip(i.tolist(), j.tolist())):
-                    x, y = _root(parent, x), _root(parent, y)
-                    if x != y:
-                        parent[x] = y
-                        take.append(at)
-                    else:
-                        extra.add(int(key[i[at]]))
-                i, j = i[take], j[take]
-                more = np.isin(key[i], np.array(sorted(extra), np.int64))
+            i, j, alike = _alike(table, num, den, across=False)
+            order = np.lexsort((-alike, key[i]))
+            i, j = i[order], j[order]
+            take, parent, extra = [], {}, set()
+            for at, (x, y) in enumerate(zip(i.tolist(), j.tolist())):
+                x, y = _root(parent, x), _root(parent, y)
+                if x != y:
+                    parent[x] = y
+                    take.append(at)
+                else:
+                    extra.add(int(key[i[at]]))
+            i, j = i[take], j[take]
+            more = np.isin(key[i], np.array(sorted(extra), np.int64))
             a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(key[i]), pa.array(more)], ["a", "b", "key", "more"])
 
     return _by_group(rows, "key").mapInArrow(run, "a bigint, b bigint, key bigint, more boolean")
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough; each is checked in one group only."""
+def crossings(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """(key, id, with) of the members of a group that have candidates in another component there.
+
+    ``with`` lists the partners a member is to be checked with; each pair stands at one of its members,
+    so there are never more rows than members.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in grouped(batches, "key"):
+            key, ids = table["key"].to_numpy(), table["id"].to_numpy()
+            i, j, _ = _alike(table, num, den, across=True)
+            member = np.unique(np.concatenate([i, j]))
+            order = np.argsort(i, kind="stable")
+            ends = np.searchsorted(i[order], member, "right")
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids[j[order]]))
+            yield pa.RecordBatch.from_arrays([pa.array(key[member]), pa.array(ids[member]), lists], ["key", "id", "with"])
+
+    return _by_group(rows, "key").mapInArrow(run, "key bigint, id bigint, with array<bigint>")
+
+
+def partners(pairs: DataFrame) -> DataFrame:
+    """(key, id, with) of pairs (a, b, key), each pair in one of its groups only."""
     once = pairs.groupBy("a", "b").agg(F.min("key").alias("key"))
-    partners = once.groupBy("key", "a").agg(F.collect_list("b").alias("with")).withColumnRenamed("a", "id")
-    needed = saved(partners.unionByName(once.select("key", F.col("b").alias("id"), F.expr("cast(array() as array<bigint>)").alias("with"))), "checks")
+    first = once.groupBy("key", "a").agg(F.collect_list("b").alias("with")).withColumnRenamed("a", "id")
+    return first.unionByName(once.select("key", F.col("b").alias("id"), F.expr("cast(array() as array<bigint>)").alias("with")))
+
+
+def confirm(needed: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) of ``needed`` (key, id, with) whose full sets are similar enough."""
     rows = needed.join(sets, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,20 +363,20 @@ def near_groups(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_
     groups = small.unionByName(alone.select("key", "id")).unionByName(pivots).distinct()
     members = classes.select("id", "n", "sketch")
     rows = groups.join(members, "id").select("key", "id", "n", "sketch", F.col("id").alias("comp"), F.lit(-1).alias("side"))
-    forest = saved(candidates(rows, num, den, across=False), "forest")
+    tree = saved(forest(rows, num, den), "forest")
     blocks = saved(_block_pairs(blocked), "blocks")
-    needed = saved(forest.select(F.explode(F.array("a", "b")).alias("id")).unionByName(blocks.select("id")).distinct(), "needed")
+    needed = saved(tree.select(F.explode(F.array("a", "b")).alias("id")).unionByName(blocks.select("id")).distinct(), "needed")
     sets = saved(full_sets(docs, id_col, text_col, needed), "sets")
-    links = saved(confirm(forest, sets, num, den), "links")
+    links = saved(confirm(saved(partners(tree), "checks"), sets, num, den), "links")
     comps = saved(components(links), "comps")
     # what the forest left open: groups that have more candidates and members of several components
-    open_keys = forest.filter("more").select("key").distinct()
+    open_keys = tree.filter("more").select("key").distinct()
     rest = small.join(open_keys, "key", "left_semi").withColumn("side", F.lit(-1)).unionByName(blocks)
     labelled = saved(rest.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "labelled")
     several = saved(labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key"), "several")
     rows = labelled.join(several, "key", "left_semi").join(members, "id").select("key", "id", "n", "sketch", "comp", "side")
-    more = confirm(saved(candidates(rows, num, den, across=True), "candidates"), sets, num, den)
-    final = saved(components(saved(links.unionByName(more), "all_links")), "final")
+    more = saved(confirm(saved(crossings(rows, num, den), "crossings"), sets, num, den).distinct(), "more")
+    final = saved(components(links.unionByName(more)), "final")
     named = saved(classes.select("one", "two", "id").join(final, "id", "left").select(
         "one", "two", F.coalesce("comp", "id").alias("component_id")), "named")
     joined = found.select("id", "n", "one", "two").join(named, ["one", "two"], "left")
