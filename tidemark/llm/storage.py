@@ -2,30 +2,28 @@
 
 from __future__ import annotations
 
-import gc
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import scratch_dir
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-    The files outlive any executor, so nothing before this point is ever computed again.
-    """
-    path = scratch_dir(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
 
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of jobs whose frames are no longer used.
-
-    It does so once the driver has collected those frames, which may otherwise be long after.
+    The files outlive any executor, so nothing before this point is ever computed again; the shuffle
+    files of the write are therefore deleted as soon as it is done.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, name)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
