@@ -164,6 +164,22 @@ def test_repeats_equal_brute_force(docs, monkeypatch, hot):
     assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in got.items()} == want
 
 
+def test_a_hot_string_is_not_sorted_in_one_task(docs, monkeypatch):
+    """One passage between different surroundings: no key brings over HOT rows to a sort."""
+    monkeypatch.setattr(suffix, "HOT", 20)
+    rng = random.Random(7)
+    make = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    passage = make(70)
+    rows = [(i, make(100) + passage + make(100)) for i in range(200)]
+    source = docs(*rows)
+    keyed, plain = [], type(source).mapInArrow
+    monkeypatch.setattr(type(source), "mapInArrow", lambda self, *a, **b: ("key" in self.columns and keyed.append(self)) or plain(self, *a, **b))
+    got = by_id(suffix.of_documents(source))
+    assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in got.items()} == brute_repeats([(i, t.encode()) for i, t in rows])
+    assert got[199]["n_removed"] >= 70 and keyed
+    assert all(r["count"] <= suffix.HOT for frame in keyed for r in frame.groupBy("key").count().collect())
+
+
 def test_repeats_of_the_table(spark):
     docs = table(spark, SMALL, "documents")
     got = by_id(suffix.of_documents(docs))
