@@ -180,6 +180,15 @@ def test_a_hot_string_is_not_sorted_in_one_task(docs, monkeypatch):
     assert all(r["count"] <= suffix.HOT for frame in keyed for r in frame.groupBy("key").count().collect())
 
 
+def test_context_filter_stays_within_its_bound(docs, monkeypatch):
+    monkeypatch.setattr(suffix, "MAX_BITS", 24_576)
+    rows = passages(2)
+    found = suffix.repeated_contexts(docs(*rows))
+    assert 8 * len(found.bits) == found.buckets * found.slice_bits <= suffix.MAX_BITS
+    got = by_id(suffix.of_documents(docs(*rows)))
+    assert {i: r["n_removed"] for i, r in got.items()} == {i: w[1] for i, w in brute_repeats([(i, t.encode()) for i, t in rows]).items()}
+
+
 def test_repeats_of_the_table(spark):
     docs = table(spark, SMALL, "documents")
     got = by_id(suffix.of_documents(docs))
