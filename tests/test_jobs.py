@@ -50,6 +50,23 @@ def test_lists_have_one_shape_at_every_size(spark, size):
     assert large.filter(F.col("position") == F.col("item") + 1).count() == size and large.select("n").distinct().collect()[0].n == size
 
 
+def test_lists_of_whole_groups_lose_nothing(spark):
+    from tidemark.catalog import load_all
+    df = spark.range(120).select(F.lit(1).alias("k"), "id", F.format_string("n%03d", "id").alias("a"), F.when(F.col("id") != 7, F.lit("u")).alias("b"))
+    got = aggregates.item_lists(df, ["k"], {"name": "a", "url": "b"}, ["id"]).orderBy("position").collect()
+    assert [(r.position, r.name, r.url, r.n) for r in got] == [(i + 1, f"n{i:03d}", None if i == 7 else "u", 120) for i in range(120)]
+    folder = "/root/testdata/sf0.01"
+    assert load_all()["A08_whole_lists"](spark, folder).count() == spark.read.parquet(f"{folder}/part.parquet").count()
+
+
+def test_extended_budgets_keep_every_distinct_value(spark, frame):
+    groups = frame("id int, name string, sales_manager_id int, owner_id int, budget decimal(27,9)", (1, "g", 1, 1, Decimal(5)))
+    extra = frame("ad_group_id int, extra_budget_type string, budget decimal(27,9)", (1, "C", Decimal(2)))
+    items = spark.range(300).select(F.lit(1).alias("ad_group_id"), F.format_string("t%03d", F.col("id") % 150).alias("revenue_type"), F.lit("KRW").alias("currency"))
+    got = money.extended_budgets(groups, extra, items, frame("id int, name string", (1, "p"))).first()
+    assert got.revenue_types == ",".join(f"t{i:03d}" for i in range(150)) and got.currencies == "KRW"
+
+
 def test_baskets_of_text_ids(spark):
     from tidemark.plans.labels import baskets
     bought = [(f"u{u}", f"p{p}") for u in range(6) for p in range(u + 1)]

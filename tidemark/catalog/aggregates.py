@@ -56,6 +56,9 @@ add("A07_distinct_items", lambda t: agg.distinct_list(t.items, ["ad_group_id"],
 add("A08_lists", lambda t: agg.joined_top(t.items, ["ad_group_id"], "item_name", ",", "names", "n", 50, ["id"]),
     f"WITH {ITEMS}, b AS (SELECT * FROM items QUALIFY row_number() OVER (PARTITION BY ad_group_id ORDER BY id) <= 50) "
     "SELECT ad_group_id, string_agg(item_name, ',' ORDER BY id) AS names, count(*) AS n FROM b GROUP BY 1")
+add("A08_whole_lists", lambda t: agg.item_lists(t.items, ["ad_group_id"], {"name": "item_name", "url": "feed"}, ["id"]),
+    f"WITH {ITEMS} SELECT ad_group_id, row_number() OVER (PARTITION BY ad_group_id ORDER BY id) AS position, item_name AS name, feed AS url, "
+    "count(*) OVER (PARTITION BY ad_group_id) AS n FROM items")
 add("A09_duplicates", lambda t: agg.find_duplicates(t.lineitem, ["l_orderkey", "l_linenumber"]),
     "SELECT l_orderkey, l_linenumber, count(*) AS cnt FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 

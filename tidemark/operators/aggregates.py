@@ -47,6 +47,13 @@ def item_list(df: DataFrame, keys: list[str], col: str, order: list | None = Non
     return placed.join(sizes, same, "right").select(*keys, position, out, count)
 
 
+def item_lists(df: DataFrame, keys: list[str], cols: dict[str, str], order: list, count: str = "n") -> DataFrame:
+    """Several columns of whole groups in the long form of ``item_list``, in the same row order."""
+    rows = df.withColumn("__row", F.struct(*[F.col(c).alias(name) for name, c in cols.items()]))
+    listed = item_list(rows, keys, "__row", order, out="__row", count=count)
+    return listed.select(*keys, "position", *[F.col(f"__row.{name}").alias(name) for name in cols], count)
+
+
 def joined_top(df: DataFrame, keys: list[str], col: str, sep: str, out: str, count: str, n: int,
                order: list | None = None) -> DataFrame:
     """The first n items of each group as one separated text, and how many they are."""
@@ -76,6 +83,13 @@ def first_distinct(df: DataFrame, keys: list[str], col: str, sep: str, out: str,
     return joined_top(unique, keys, col, sep, out, "__n", n).drop("__n")
 
 
+def joined_distinct(df: DataFrame, keys: list[str], col: str, sep: str, out: str) -> DataFrame:
+    """All distinct values of each group, sorted and joined; for columns of few values, such as types."""
+    unique = df.filter(F.col(col).isNotNull()).select(*keys, col).distinct()
+    items = F.array_sort(F.collect_list(col))
+    return unique.groupBy(*keys).agg(F.array_join(F.transform(items, lambda x: x.cast("string")), sep).alias(out))
+
+
 def find_duplicates(df: DataFrame, keys: list[str], out: str = "cnt") -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias(out)).filter(F.col(out) > 1)
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.numbers import int_div, money, safe_ratio
 from tidemark.functions.times import business_day, trunc_ts, ts
-from tidemark.operators.aggregates import conditional_agg, first_distinct, merge_measures
+from tidemark.operators.aggregates import conditional_agg, joined_distinct, merge_measures
 from tidemark.operators.joins import attribute, enrich, lookback_join, offset_join, union_all
 from tidemark.operators.ordered import running_sum
 
@@ -70,8 +70,8 @@ def extended_budgets(groups: DataFrame, extra: DataFrame, lineitems: DataFrame,
     kinds = {"compensation_budget": "C", "addition_budget": "A", "promotion_budget": "P", "carryover_budget": "O"}
     extras = conditional_agg(extra, ["ad_group_id"], {
         n: (F.col("extra_budget_type") == k, F.col("budget")) for n, k in kinds.items()})
-    types = first_distinct(lineitems, ["ad_group_id"], "revenue_type", ",", "revenue_types")
-    currencies = first_distinct(lineitems, ["ad_group_id"], "currency", ",", "currencies")
+    types = joined_distinct(lineitems, ["ad_group_id"], "revenue_type", ",", "revenue_types")
+    currencies = joined_distinct(lineitems, ["ad_group_id"], "currency", ",", "currencies")
     named = enrich(groups, [(users, "id", "sales_manager_id", {"sales_manager_name": "name"}),
                             (users, "id", "owner_id", {"owner_name": "name"})])
     joined = (named.withColumnRenamed("id", "ad_group_id").join(extras, "ad_group_id", "left")
