@@ -71,6 +71,32 @@ def test_near_groups_equal_brute_force(docs, monkeypatch, small):
     assert all(r["kept"] == (i == r["component_id"]) for i, r in got.items())
 
 
+@pytest.mark.parametrize("share", [0.85, 0.8])
+def test_pairs_at_the_threshold_meet_at_the_last_level(spark, monkeypatch, share):
+    """Families of over 256 sketches with pairs that agree as at the threshold, in the production trees."""
+    monkeypatch.setattr(near, "SMALL", 1)  # every node branches on to the last level
+    rng, families, size = np.random.default_rng(11), 4, 300
+    base = np.repeat(rng.integers(0, 1 << 16, (families, near.SKETCH), np.uint16), size, axis=0)
+    own = rng.integers(0, 1 << 16, base.shape, np.uint16)
+    sketch = np.where(rng.random(base.shape) < share ** 0.5, base, own)
+    rows = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sketch)], "id bigint, sketch binary")
+    _, large = near.nodes(rows, 1 / share - 1)
+    together = np.zeros((len(sketch), len(sketch)), bool)
+    for r in large.groupBy("key").agg({"id": "collect_list"}).collect():
+        together[np.ix_(r[1], r[1])] = True
+    met = total = 0
+    for first in range(0, len(sketch), size):
+        own = slice(first, first + size)
+        pairs = np.triu((sketch[own, None] == sketch[None, own]).sum(axis=2) >= 0.75 * share * near.SKETCH, 1)
+        met, total = met + int(together[own, own][pairs].sum()), total + int(pairs.sum())
+    assert total > 170_000 and met >= 0.985 * total
+
+
+def test_trees_reach_the_recall_at_every_threshold():
+    for share in (0.7, 0.8, 0.85, 0.9, 0.95):
+        assert near.missed(near.tree_count(share), share) <= 0.01 < near.missed(near.tree_count(share) - 1, share)
+
+
 def test_near_groups_of_the_table(spark):
     docs = table(spark, SMALL, "documents")
     got = by_id(near.of_documents(docs))

@@ -15,7 +15,9 @@ similarity of their full sets reaches the threshold; a group is what links conne
    contracted to components (alternating large-star and small-star steps). Nodes that still hold several
    components give the remaining candidates between them. So pairs within a group are never all emitted.
 
-``TREES`` trees find a pair at the threshold with a probability over 0.99, and closer pairs more surely.
+The number of trees follows from the threshold: a pair at the threshold that must go down to level
+``DEPTH`` is found with a probability of ``RECALL``, and closer pairs more surely. All trees read the same
+sketch, so the probability is the mean over what the sketches of such a pair agree in (``missed``).
 
 Defined results: null and empty texts, and texts without words, have no shingles and are linked with
 nothing; fewer than five words are one shingle; rows with a null id are linked with nothing and kept, and
@@ -26,6 +28,8 @@ and text are not looked at; an empty table gives an empty table.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +41,8 @@ from tidemark.llm.storage import parallelism, saved
 
 WORDS = 5
 SKETCH = 128
-TREES, LEVELS, DEPTH = 10, 3, 12
+RECALL = 0.99
+LEVELS, DEPTH = 3, 12
 SMALL = 256
 _rng = np.random.default_rng(20240229)
 _FLIP = _rng.integers(0, 1 << 32, SKETCH, np.uint32)
@@ -93,6 +98,29 @@ def features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return source.mapInArrow(run, "id bigint, n bigint, one bigint, two bigint, sketch binary")
 
 
+def _least(share: float) -> int:
+    """The fewest equal coordinates with which a pair of sketches is a candidate."""
+    return int(np.ceil(SKETCH * (share - 3.0 * np.sqrt(share * (1 - share) / SKETCH))))
+
+
+def missed(trees: int, share: float) -> float:
+    """Probability that a pair of this similarity, also the threshold, shares no node at level ``DEPTH`` or is no candidate."""
+    total = 0.0
+    for equal in range(SKETCH + 1):
+        weight = comb(SKETCH, equal) * share ** equal * (1 - share) ** (SKETCH - equal)
+        agree, gone = equal / SKETCH, 0.0
+        for _ in range(DEPTH):  # a node's children: the first token always, the second with its probability
+            gone = (1 - agree * (1 - gone)) * (1 - (1 / share - 1) * agree * (1 - gone))
+        total += weight * (gone ** trees if equal >= _least(share) else 1.0)
+    return total
+
+
+@cache
+def tree_count(share: float) -> int:
+    """The fewest trees that miss at most ``1 - RECALL`` of the pairs at this threshold, the cut by the sketches included."""
+    return next(t for t in range(1, 1 << 10) if missed(t, share) <= 1 - RECALL)
+
+
 def _branch(sketch: np.ndarray, row: np.ndarray, key: np.ndarray, levels: int, second: float) -> tuple[np.ndarray, np.ndarray]:
     """Follow paths for some levels; ``row`` names the sketch of each path, ``key`` the node it is in."""
     for _ in range(levels):
@@ -112,17 +140,17 @@ def _sketch_rows(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, SKETCH)
 
 
-def _grow(rows: DataFrame, second: float, root: bool) -> DataFrame:
-    """(key, id) of the nodes ``LEVELS`` below; rows have id and sketch, and a key unless at the root."""
+def _grow(rows: DataFrame, second: float, trees: int = 0) -> DataFrame:
+    """(key, id) of the nodes ``LEVELS`` below; rows have id and sketch, and a key unless ``trees`` start here."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, 8192):
                 part = batch.slice(first, 8192)
                 sketch = _sketch_rows(part.column("sketch"))
                 row = np.arange(len(sketch))
-                if root:
-                    key = np.repeat(A.mix(np.arange(1, TREES + 1).astype(A.U)), len(sketch))
-                    row = np.tile(row, TREES)
+                if trees:
+                    key = np.repeat(A.mix(np.arange(1, trees + 1).astype(A.U)), len(sketch))
+                    row = np.tile(row, trees)
                 else:
                     key = part.column("key").to_numpy().astype(A.U)
                 row, key = _branch(sketch, row, key, LEVELS, second)
@@ -140,13 +168,13 @@ def _members(rows: DataFrame) -> DataFrame:
 
 def nodes(reps: DataFrame, second: float) -> tuple[DataFrame, DataFrame]:
     """(key, id) of the small nodes, and of the large ones left at the last level."""
-    members = saved(_members(_grow(reps.select("id", "sketch"), second, True)), "nodes")
+    members = saved(_members(_grow(reps.select("id", "sketch"), second, tree_count(1 / (1 + second)))), "nodes")
     small = members.filter(F.col("size") <= SMALL)
     for _ in range(LEVELS, DEPTH, LEVELS):
         large = members.filter(F.col("size") > SMALL).select("key", "id")
         if large.isEmpty():
             break
-        below = _grow(large.join(reps.select("id", "sketch"), "id"), second, False)
+        below = _grow(large.join(reps.select("id", "sketch"), "id"), second)
         members = saved(_members(below), "nodes")
         small = small.unionByName(members.filter(F.col("size") <= SMALL))
     return small.select("key", "id"), members.filter(F.col("size") > SMALL).select("key", "id", "size")
@@ -207,8 +235,7 @@ def _alike(table: pa.Table, num: int, den: int, across: bool) -> tuple[np.ndarra
 
     ``across``: only pairs of different components. Pairs of one side of a pair of blocks are left out.
     """
-    share = num / den
-    least = int(np.ceil(SKETCH * (share - 3.0 * np.sqrt(share * (1 - share) / SKETCH))))
+    least = _least(num / den)
     ids, n, comp, side = (table[c].to_numpy() for c in ("id", "n", "comp", "side"))
     sketch = _sketch_rows(table["sketch"].combine_chunks())
     found = [np.zeros((3, 0), np.int64)]
