@@ -97,6 +97,18 @@ def test_trees_reach_the_recall_at_every_threshold():
         assert near.missed(near.tree_count(share), share) <= 0.01 < near.missed(near.tree_count(share) - 1, share)
 
 
+def test_a_linked_family_gives_no_block_pairs(docs, monkeypatch):
+    monkeypatch.setattr(near, "SMALL", 6)
+    frames, plain = {}, near.saved
+    monkeypatch.setattr(near, "saved", lambda df, name: frames.setdefault(name, plain(df, name)) if name == "blocks" else plain(df, name))
+    rng = random.Random(5)
+    base = [f"v{i}" for i in range(400)]
+    rows = [(i, " ".join(edited(rng, base, 0.002))) for i in range(120)]
+    got = by_id(near.near_groups(docs(*rows), 85, 100))
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == brute_near(rows, 85, 100)
+    assert frames["blocks"].count() <= len(rows)  # 120 members in 20 blocks were 2,400 rows a node
+
+
 def test_near_groups_of_the_table(spark):
     docs = table(spark, SMALL, "documents")
     got = by_id(near.of_documents(docs))

@@ -366,10 +366,23 @@ def _blocked(large: DataFrame) -> DataFrame:
     return large.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id", F.lit(7)), F.col("blocks")))
 
 
-def _block_pairs(blocked: DataFrame) -> DataFrame:
-    """Both sides of every pair of blocks of a node; the pair names the group."""
-    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
-    rows = blocked.withColumn("other", other)
+def _block_pairs(large: DataFrame, comps: DataFrame) -> DataFrame:
+    """Both sides of every pair of blocks of a node that can hold members of two components.
+
+    The members outside the node's largest component have blocks of their own, numbered first: each of
+    them meets every block, and the largest component's members meet only those. So a node that the
+    forest has linked altogether gives no rows.
+    """
+    labelled = saved(large.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "large")
+    sizes = labelled.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    most = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("most"), F.sum("n").alias("all")).filter("most.n < all").select(
+        "key", F.col("most.comp").alias("main"), F.ceil((F.col("all") - F.col("most.n")) / SMALL).cast("bigint").alias("outer"),
+        F.ceil(F.col("most.n") / SMALL).cast("bigint").alias("inner"))
+    rows = labelled.join(saved(most, "most"), "key")
+    outside, number = F.col("comp") != F.col("main"), F.xxhash64("id", F.lit(7))
+    block = F.when(outside, F.pmod(number, F.col("outer"))).otherwise(F.col("outer") + F.pmod(number, F.col("inner")))
+    last = F.when(outside, F.col("outer") + F.col("inner")).otherwise(F.col("outer")) - 1
+    rows = rows.select("key", "id", block.alias("block"), F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("other"))
     low, high = F.least("block", "other"), F.greatest("block", "other")
     # within one block there is one side (-1), otherwise the lower block is side 0
     side = F.when(F.col("block") == F.col("other"), -1).when(F.col("block") < F.col("other"), 0).otherwise(1)
@@ -391,13 +404,13 @@ def near_groups(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_
     members = classes.select("id", "n", "sketch")
     rows = groups.join(members, "id").select("key", "id", "n", "sketch", F.col("id").alias("comp"), F.lit(-1).alias("side"))
     tree = saved(forest(rows, num, den), "forest")
-    blocks = saved(_block_pairs(blocked), "blocks")
-    needed = saved(tree.select(F.explode(F.array("a", "b")).alias("id")).unionByName(blocks.select("id")).distinct(), "needed")
+    needed = saved(tree.select(F.explode(F.array("a", "b")).alias("id")).unionByName(large.select("id")).distinct(), "needed")
     sets = saved(full_sets(docs, id_col, text_col, needed), "sets")
     links = saved(confirm(saved(partners(tree), "checks"), sets, num, den), "links")
     comps = saved(components(links), "comps")
     # what the forest left open: groups that have more candidates and members of several components
     open_keys = tree.filter("more").select("key").distinct()
+    blocks = saved(_block_pairs(large, comps), "blocks")
     rest = small.join(open_keys, "key", "left_semi").withColumn("side", F.lit(-1)).unionByName(blocks)
     labelled = saved(rest.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "labelled")
     several = saved(labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key"), "several")
