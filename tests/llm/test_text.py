@@ -141,6 +141,15 @@ def test_main_text_of_noisy_pages(spark):
     assert got[2]["text"] == "" and got[2]["n_chars"] == 0 and got[3]["text"] == "no tags < here"
 
 
+@pytest.mark.parametrize("paragraphs", [1, 8, 9, 40])
+def test_wrapped_articles_are_kept_whole_at_every_length(paragraphs):
+    body = [f"Paragraph {i}, with two commas, " + "and words " * 26 for i in range(paragraphs)]
+    parts = ["Headline", "A short lead", *[b.strip() for b in body], "item one", "Short end"]
+    inner = "".join(f"<p>{b}</p>" for b in body)
+    page = f"<body><p>Outside</p><article><h1>Headline</h1><p>A short lead</p><div class=body>{inner}</div><ul><li>item one</li></ul><p>Short end</p></article></body>"
+    assert html.main_text(page) == " ".join(parts)
+
+
 def test_main_text_of_the_table(spark):
     """The article element holds the main text of every page of the table."""
     from html import unescape

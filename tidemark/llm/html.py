@@ -2,7 +2,8 @@
 
 The page is read into a tree of elements. Every paragraph with text gives points for its length and its
 commas to its ancestors, fewer with each level and fewer the more of it is link text. The container with
-most points is kept, with those siblings that score like it or read like prose; elements that by their
+most points is kept, or the article or main element around it as a whole, or else those siblings too that
+score like it or read like prose; elements that by their
 tag, role, class or state are page furniture are left out before.
 
 Character references are decoded, white space inside a block becomes one blank, and the blocks are joined
@@ -182,6 +183,11 @@ def main_text(html: str | None) -> str:
     for node in points:
         points[node] += CONTAINERS.get(page.tags[node], 0.0) if length[node] else 0.0
     best = max(points, key=lambda n: (points[n], -n))
+    # an article is kept whole, however its text is wrapped and however long it is
+    above = best
+    while above > 0 and page.tags[above] not in ("article", "main"):
+        above = page.parent[above]
+    best = above if above > 0 else best
     kept = {best}
     if page.tags[best] not in ("article", "main"):
         enough = KEEP_SHARE * points[best]
