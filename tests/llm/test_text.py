@@ -150,6 +150,20 @@ def test_wrapped_articles_are_kept_whole_at_every_length(paragraphs):
     assert html.main_text(page) == " ".join(parts)
 
 
+def test_layout_classes_do_not_remove_the_article():
+    text = "A paragraph, with commas, of the article itself."
+    article = f"<article><p>{text}</p><figure><img src=x><figcaption>Caption</figcaption></figure></article>"
+    for wrapper in ('class="page has-sidebar"', 'id="content-with-menu"', 'class=no-comments', 'class="page has-sidebar" id=x'):
+        page = f"<body><div {wrapper}>{article}<div class=sidebar><p>Side, bar, side</p></div></div></body>"
+        assert html.main_text(page) == f"{text} Caption"
+        assert html.main_text(f"<div {wrapper}><p>{text}</p></div>") == text
+    # furniture in and beside the article still goes; a page of nothing else is read without class marks
+    related = '<div class="related-posts"><article><p>Another, one</p></article></div>'
+    comments = f'<div class="comments-area">{"<p>A long comment, with, many, commas, in it.</p>" * 9}</div>'
+    assert html.main_text(f"<body><article><p>{text}</p>{related}</article>{comments}</body>") == text
+    assert html.main_text(f'<div class="comments"><p>{text}</p></div>') == text
+
+
 def test_main_text_of_the_table(spark):
     """The article element holds the main text of every page of the table."""
     from html import unescape

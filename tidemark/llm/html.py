@@ -4,7 +4,8 @@ The page is read into a tree of elements. Every paragraph with text gives points
 commas to its ancestors, fewer with each level and fewer the more of it is link text. The container with
 most points is kept, or the article or main element around it as a whole, or else those siblings too that
 score like it or read like prose; elements that by their
-tag, role, class or state are page furniture are left out before.
+tag, role, class or state are page furniture are left out before. A class or id that names furniture only
+in part doesn't remove what stands around the article, and none counts if nothing would be left.
 
 Character references are decoded, white space inside a block becomes one blank, and the blocks are joined
 in page order by one blank. Nothing is cut: long pages are read whole. Defined results: null and empty
@@ -31,7 +32,7 @@ WORD = re.compile(r"[a-z]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr img".split())
-FURNITURE = frozenset("nav header footer aside form button menu dialog fieldset input canvas audio video figcaption".split())
+FURNITURE = frozenset("nav header footer aside form button menu dialog fieldset input canvas audio video".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs combx comment comments community cookie "
@@ -48,28 +49,29 @@ CONTAINERS = {"article": 30.0, "main": 25.0, "section": 3.0, "div": 5.0, "blockq
 KEEP_SHARE, PROSE = 0.2, 80
 
 
-def _furniture(tag: str, attributes: str) -> bool:
+def _furniture(tag: str, attributes: str, marks: bool) -> tuple[bool, int]:
+    """Whether tag, role or state say furniture, and how far class and id do: 2 by a whole name, 1 by a part of one."""
     if tag in FURNITURE:
-        return True
-    if not attributes:
-        return False
-    for name, *values, bare in ATTRIBUTE.findall(attributes):
+        return True, 0
+    mark = 0
+    for name, *values, bare in ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = (name or bare).lower(), "".join(values).lower()
         if name in ("class", "id"):
-            if tag not in ("body", "html", "article", "main") and not MARKS.isdisjoint(WORD.findall(value)):
-                return True
+            if marks and tag not in ("body", "html", "article", "main") and not MARKS.isdisjoint(WORD.findall(value)):
+                mark = max(mark, 2 if any(MARKS.issuperset(words) for words in map(WORD.findall, value.split()) if words) else 1)
         elif name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return True, mark
         elif name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
+            return True, mark
+    # inline elements have no blocks of their own, so they go at once
+    return mark > 0 and tag in INLINE, mark
 
 
 class Page:
     """The tree: for every element its parent and tag; for every block its element, text and link length."""
 
-    def __init__(self, html: str):
-        self.parent, self.tags, self.dropped = [-1], ["#root"], [False]
+    def __init__(self, html: str, marks: bool = True):
+        self.parent, self.tags, self.dropped, self.marks, self.by_marks = [-1], ["#root"], [False], [0], marks
         self.blocks: list[tuple[int, str, int]] = []
         self.texts: list[str] = []
         self.linked, self.links, self.block_of = 0, 0, 0
@@ -89,6 +91,38 @@ class Page:
         if at < len(html):
             self._text(stack, html[at:])
         self._flush()
+        if any(self.marks):
+            self._leave_out()
+
+    def _leave_out(self) -> None:
+        """Drop the blocks of elements with a furniture class or id.
+
+        A part of a name (``has-sidebar``) doesn't drop what stands around an article or main element, or
+        holds most of the points of a page without another one.
+        """
+        whole, within = [False], [False]  # below an element marked by a whole name; below an article or main element
+        for node in range(1, len(self.parent)):
+            above = self.parent[node]
+            whole.append(whole[above] or self.marks[node] == 2 or self.dropped[node])
+            within.append(within[above] or self.tags[above] in ("article", "main"))
+        around: set[int] = set()
+        for node, tag in enumerate(self.tags):
+            if tag in ("article", "main") and not whole[node]:
+                while node >= 0 and node not in around:
+                    around.add(node)
+                    node = self.parent[node]
+        held = [0.0] * len(self.parent)
+        for node, text, linked in self.blocks:
+            if not whole[node]:
+                held[node] += _worth(text, linked)
+        for node in range(len(held) - 1, 0, -1):
+            held[self.parent[node]] += held[node]
+        out = [False]
+        for node in range(1, len(self.parent)):
+            mark = self.marks[node]
+            spared = mark == 1 and (node in around and not within[node] or held[node] * 2 > held[0] and (within[node] or not around))
+            out.append(out[self.parent[node]] or mark > 0 and not spared)
+        self.blocks = [b for b in self.blocks if not out[b[0]]]
 
     def _text(self, stack: list[int], text: str) -> None:
         if self.dropped[stack[-1]]:
@@ -126,7 +160,9 @@ class Page:
         node = len(self.parent)
         self.parent.append(stack[-1])
         self.tags.append(tag)
-        self.dropped.append(self.dropped[stack[-1]] or _furniture(tag, attributes))
+        furniture, mark = _furniture(tag, attributes, self.by_marks)
+        self.dropped.append(self.dropped[stack[-1]] or furniture)
+        self.marks.append(mark)
         stack.append(node)
         if tag not in INLINE:
             self.block_of = node
@@ -163,17 +199,23 @@ class Page:
         self.links = 0
 
 
+def _worth(text: str, linked: int) -> float:
+    return (1.0 + text.count(",") + min(len(text) / 100.0, 3.0)) * (1.0 - linked / len(text))
+
+
 def main_text(html: str | None) -> str:
     """The main text of one page."""
     if not html:
         return ""
     page = Page(html)
+    if not page.blocks and any(page.marks):
+        page = Page(html, marks=False)
     if not page.blocks:
         return ""
     points: dict[int, float] = {}
     length: dict[int, int] = {}
     for node, text, linked in page.blocks:
-        worth = (1.0 + text.count(",") + min(len(text) / 100.0, 3.0)) * (1.0 - linked / len(text))
+        worth = _worth(text, linked)
         node = page.parent[node] if page.tags[node] in ("p", "pre", "h1", "h2", "h3", "h4", "h5", "h6") else node
         share = 1.0
         while node >= 0:
