@@ -125,6 +125,26 @@ def test_quality_verdict_by_coverage(docs):
     assert [got[i]["kept"] for i in (1, 2, 3)] == [True, False, False]
 
 
+@pytest.mark.parametrize("n, share", [(3, 0.47), (5, 0.155), (6, 0.145), (7, 0.135), (8, 0.125), (9, 0.115), (10, 0.105)])
+def test_each_length_decides_between_its_limit_and_the_base_rule(docs, n, share):
+    """Passages of exactly n words, each twice, over the limit of n but not of fewer words."""
+    total, fresh = 4000, iter(f"w{i:05d}" for i in range(10**5))
+    passages = [[next(fresh) for _ in range(n)] for _ in range(int(share * total / n / 2))] * 2
+    gap = (total - n * len(passages)) // len(passages)
+    make = lambda parts: " ".join(w for p in parts for w in [*p, *[next(fresh) for _ in range(gap)]])
+    over, under = make(passages), make(passages[:len(passages) // 2] + [[next(fresh) for _ in p] for p in passages[len(passages) // 2:]])
+    got = by_id(quality.of_documents(docs((1, over), (2, under))))
+    assert not got[1]["base_failed"] and [got[i]["kept"] for i in (1, 2)] == [False, True]
+
+
+def test_repeated_lines_decide(docs):
+    """Lines of two words, so that no repeated n-gram counts: a sixth and a quarter of the characters found before."""
+    lines = [f"a{i:03d} b{i:03d}" for i in range(300)]
+    sixth, quarter = lines + lines[::5], lines + lines[::3]
+    got = by_id(quality.of_documents(docs((1, "\n".join(sixth)), (2, "\n".join(quarter)))))
+    assert not got[2]["base_failed"] and [got[i]["kept"] for i in (1, 2)] == [True, False]
+
+
 def test_main_text_of_noisy_pages(spark):
     page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>
     <header><a href=/>Site</a></header><nav><ul><li><a href="/x">Menu, menu, menu</a></li></ul></nav>
