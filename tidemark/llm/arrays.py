@@ -95,10 +95,10 @@ class Words:
         return np.diff(self.first)
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Runs of bytes that are no ASCII white space; they end at a document's end."""
+def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> Words:
+    """Runs of bytes that are no ASCII white space (or not in ``space``); they end at a document's end."""
     inside = np.zeros(len(data) + 1, bool)
-    inside[:-1] = ~SPACE[data]
+    inside[:-1] = ~space[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     cuts = offsets[:-1][offsets[:-1] < len(data)]
@@ -111,6 +111,14 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(starts, ends, np.searchsorted(starts, offsets))
 
 
+def strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of each span as an array of strings."""
+    size = ends - starts
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    at = np.repeat(starts - offsets[:-1], size) + np.arange(offsets[-1])
+    return pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[at])))
+
+
 def rolling(h: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of n consecutive items; one entry for each of the len(h) - n + 1 starts."""
     if len(h) < n:

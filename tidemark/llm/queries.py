@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact, html, language, near, packing, quality, suffix, toxicity, warc
+from tidemark.llm import bpe, collocations, exact, html, language, near, packing, quality, suffix, toxicity, warc
 from tidemark.llm.storage import table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -48,8 +48,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": _over("documents", exact.of_documents),
         "op9_best_fit_packing": _over("documents", packing.of_documents, WORD_BPE, END_ID, SEQUENCE),
         "op10_repeat_removal": _over("documents", suffix.of_documents),
+        "op11_collocations": _over("documents", collocations.of_documents),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_warc_revisits": warc.ORACLE.strip(), "op8_exact_dedup": exact.ORACLE.strip()}
+    return {"op7_warc_revisits": warc.ORACLE.strip(), "op8_exact_dedup": exact.ORACLE.strip(),
+            "op11_collocations": collocations.ORACLE.strip()}
