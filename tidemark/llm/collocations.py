@@ -43,7 +43,7 @@ TILE_BITS = 10
 TILE = 1 << TILE_BITS
 DENSE = TILE * TILE // 32
 MAX_BITS = 1 << 28
-BLOCK = 1 << 22
+BLOCK = 1 << 21
 UNKNOWN = "und"
 COUNTS = "lang string, phrase string, a bigint"
 _SEPARATES = np.zeros(256, bool)
