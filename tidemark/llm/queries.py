@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, collocations, exact, html, language, near, packing, quality, suffix, toxicity, warc
+from tidemark.llm import bpe, collocations, conversations, exact, html, language, near, packing, quality, suffix, toxicity, warc
 from tidemark.llm.storage import table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -49,6 +49,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_best_fit_packing": _over("documents", packing.of_documents, WORD_BPE, END_ID, SEQUENCE),
         "op10_repeat_removal": _over("documents", suffix.of_documents),
         "op11_collocations": _over("documents", collocations.of_documents),
+        "op12_conversation_repair": _over("conversations", conversations.of_conversations),
     }
 
 
