@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, collocations, conversations, exact, html, language, near, packing, quality, suffix, toxicity, warc
+from tidemark.llm import bpe, collocations, conversations, embeddings, exact, html, language, near, packing, quality, suffix, toxicity, warc
 from tidemark.llm.storage import table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -50,9 +50,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_repeat_removal": _over("documents", suffix.of_documents),
         "op11_collocations": _over("documents", collocations.of_documents),
         "op12_conversation_repair": _over("conversations", conversations.of_conversations),
+        "op13_embedding_groups": _over("embeddings", embeddings.of_embeddings),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op7_warc_revisits": warc.ORACLE.strip(), "op8_exact_dedup": exact.ORACLE.strip(),
-            "op11_collocations": collocations.ORACLE.strip()}
+            "op11_collocations": collocations.ORACLE.strip(), "op13_embedding_groups": embeddings.ORACLE.strip()}
