@@ -7,8 +7,8 @@
    of the nearest centroid, its home, and visits those before it in order that it nearly reaches: the ones
    whose dividing plane is within ``reach`` of it. So a pair meets in at most one cell, that of the first
    of its two homes. A pair at the threshold is missed only if its difference, mostly across the plane,
-   goes further than that. Up to 16 components the reach is the sine of the angle, and nothing is missed;
-   beyond, it is four standard deviations of a difference in a random direction, ``LEAST_REACH`` at least.
+   goes further than that. Up to 6 components the reach is the sine of the angle, and nothing is missed;
+   beyond, it is 2.5 standard deviations of a difference in a random direction, ``LEAST_REACH`` at least.
    The tests measure the recall against brute force.
 3. A split that the sample shows not to spare work (a cell of vectors that are all alike) is not made. Cells
    are dealt into blocks by a hash, and each pair of blocks is one matrix product in double precision. Links
@@ -34,9 +34,9 @@ from tidemark.llm.graph import components
 from tidemark.llm.storage import parallelism, saved
 
 LEAST = 0.9
-LEAF = BLOCK = 2048
-BRANCH, SAMPLE, ROUNDS, DEPTH = 64, 8192, 8, 8
-LEAST_REACH = 0.2
+LEAF, BLOCK = 1024, 2048
+BRANCH, SAMPLE, ROUNDS, DEPTH = 128, 8192, 8, 8
+LEAST_REACH = 0.1
 CHUNK = 1 << 16
 ROWS = 1024
 WORTH = 0.6
@@ -81,7 +81,7 @@ def vectors(table: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, str
 
 def reach(dim: int, least: float) -> float:
     """How far beyond a dividing plane a vector's neighbours are looked for."""
-    spread = 4 * np.sqrt((2 - 2 * least) / dim)
+    spread = 2.5 * np.sqrt((2 - 2 * least) / dim)
     return float(min(np.sqrt(1 - least * least) + 1e-9, max(LEAST_REACH, spread)))
 
 
@@ -169,7 +169,7 @@ def _children(large: DataFrame, centroids: DataFrame, kind: str, least: float) -
 
 
 def cells(classes: DataFrame, kind: str, least: float) -> DataFrame:
-    """(cell, node, home, n, vec, size) of all cells that are not split any more."""
+    """(cell, node, home, n, vec, size, homes) of all cells that are not split any more."""
     members = classes.select(F.col("dim").cast("string").alias("cell"), "node", F.lit(True).alias("home"), "n", "vec")
     done = None
     for depth in range(DEPTH + 1):
@@ -181,7 +181,7 @@ def cells(classes: DataFrame, kind: str, least: float) -> DataFrame:
             split = saved(_centroids(large, kind, least), "centroids")
             split = None if split.isEmpty() else split
         rest = sized if split is None else sized.join(split.select("cell"), "cell", "left_anti")
-        rest = rest.select("cell", "node", "home", "n", "vec", "size")
+        rest = rest.select("cell", "node", "home", "n", "vec", "size", "homes")
         done = rest if done is None else done.unionByName(rest)
         if split is None:
             return done
@@ -189,30 +189,40 @@ def cells(classes: DataFrame, kind: str, least: float) -> DataFrame:
 
 
 def compare(found: DataFrame, kind: str, least: float) -> DataFrame:
-    """(node, other, n): links of each vector as a sum of n, and edges of a spanning forest (other not null)."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    numbered = found.select("*", blocks.alias("blocks"), F.pmod(F.xxhash64("node", F.lit(5)), blocks).cast("int").alias("block"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    pairs = numbered.select("cell", "node", "home", "n", "vec", "block", other).select(
-        "cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "home", "n", "vec",
+    """(node, other, n): links of each vector as a sum of n, and edges of a spanning forest (other not null).
+
+    Blocks of vectors at home come first in a cell's numbering, then those of visitors, which meet only the former.
+    """
+    living, visiting = F.ceil(F.col("homes") / BLOCK).cast("int"), F.ceil((F.col("size") - F.col("homes")) / BLOCK).cast("int")
+    number = F.xxhash64("node", F.lit(5))
+    block = F.when(F.col("home"), F.pmod(number, living)).otherwise(living + F.pmod(number, F.greatest(visiting, F.lit(1)))).cast("int")
+    last = F.when(F.col("home"), living + visiting - 1).otherwise(living - 1)
+    pairs = found.select("*", block.alias("block"), F.explode(F.sequence(F.lit(0), last)).alias("other")).select(
+        "cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "n", "vec",
         (F.col("block") <= F.col("other")).alias("left"), (F.col("block") >= F.col("other")).alias("right"))
 
     def run(rows: pa.Table) -> pa.Table:
-        home, left, right = (rows[c].to_numpy() for c in ("home", "left", "right"))
+        left, right = rows["left"].to_numpy(), rows["right"].to_numpy()
         node, weight, at = rows["node"].to_numpy(), rows["n"].to_numpy(), unit(rows["vec"], kind)
         a, b = np.flatnonzero(left), np.flatnonzero(right)
-        near = (at[a] @ at[b].T >= least) & (home[a][:, None] | home[b])
-        near &= a[:, None] != b
+        near = at[a] @ at[b].T >= least
+        if left.all() and right.all():  # one block with itself: each link stands there twice
+            np.fill_diagonal(near, False)
+        else:
+            both = near.any(axis=1), near.any(axis=0)
+            near, a, b = near[both[0]][:, both[1]], a[both[0]], b[both[1]]
         links = np.zeros(len(node), np.int64)
-        links[a] = near @ weight[b]
-        if not (len(a) == len(b) and (a == b).all()):  # two blocks: the product has each link once
+        links[a] += near @ weight[b]
+        if not (left.all() and right.all()):
             links[b] += near.T @ weight[a]
-        whole = np.zeros((len(node), len(node)), bool)
-        whole[np.ix_(a, b)] = near
-        whole |= whole.T
-        one, two = _forest(whole)
         some = np.flatnonzero(links)
-        return pa.table({"node": np.concatenate([node[some], node[one]]), "other": pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(node[two])]),
+        place = np.zeros(len(node), np.int64)
+        place[some] = np.arange(len(some))
+        linked = near.any(axis=1), near.any(axis=0)
+        whole = np.zeros((len(some), len(some)), bool)
+        whole[np.ix_(place[a[linked[0]]], place[b[linked[1]]])] = near[linked[0]][:, linked[1]]
+        one, two = _forest(whole | whole.T)
+        return pa.table({"node": np.concatenate([node[some], node[some[one]]]), "other": pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(node[some[two]])]),
                          "n": np.concatenate([links[some], np.zeros(len(one), np.int64)])})
 
     return pairs.groupBy("cell", "i", "j").applyInArrow(run, "node bigint, other bigint, n bigint")
