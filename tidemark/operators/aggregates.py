@@ -35,16 +35,20 @@ def item_list(df: DataFrame, keys: list[str], col: str, order: list | None = Non
               position: str = "position", count: str = "n") -> DataFrame:
     """Items of each group in long form: key, position in a stated order, item, and the group's count.
 
-    One shape for groups of any size: nothing is gathered into a cell. A group that holds only NULLs
-    keeps one row, without position and item and with count 0.
+    One shape for groups of any size: nothing is gathered into a cell, and a hot group is split where
+    its items meet their count. A group that holds only NULLs keeps one row, without position and item
+    and with count 0.
     """
+    from tidemark.operators.joins import dealt_anew
     from tidemark.operators.ordered import add_row_number
     sizes = df.groupBy(*keys).agg(F.count(col).alias(count))
     items = df.filter(F.col(col).isNotNull())
     placed = add_row_number(items, keys, order or [col], "__at").select(
         *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__at").cast("bigint").alias(position), F.col(col).alias(out))
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
-    return placed.join(sizes, same, "right").select(*keys, position, out, count)
+    listed = placed.join(dealt_anew(sizes.filter(F.col(count) > 0)), same).select(*keys, position, out, count)
+    nothing = [F.lit(None).cast(listed.schema[c].dataType).alias(c) for c in (position, out)]
+    return listed.unionByName(sizes.filter(F.col(count) == 0).select(*keys, *nothing, count))
 
 
 def item_lists(df: DataFrame, keys: list[str], cols: dict[str, str], order: list, count: str = "n") -> DataFrame:

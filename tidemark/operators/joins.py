@@ -2,6 +2,9 @@
 
 No side is forced into a broadcast: Spark broadcasts a side when its measured size is under
 ``spark.sql.autoBroadcastJoinThreshold`` and splits hot keys of the streamed side otherwise.
+
+Adaptive execution splits a hot key only if each side of the join has a shuffle of its own for it. An
+aggregate by the join key has none: its output already lies by that key. ``dealt_anew`` gives it one.
 """
 
 from __future__ import annotations
@@ -35,13 +38,22 @@ def enrich(fact: DataFrame, dims: list[tuple]) -> DataFrame:
     return fact
 
 
+def dealt_anew(grouped: DataFrame) -> DataFrame:
+    """An aggregate in balanced partitions, for the side of a join that meets rows with hot keys.
+
+    The rows moved once more are those of the aggregate; the hot side moves once, in as many tasks as it needs.
+    """
+    return grouped.hint("rebalance")
+
+
 def anti_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left rows without a match. Right keys are made distinct first, so only the left can be hot."""
-    return left.join(right.select(*keys).distinct(), list(keys), "left_anti")
+    """Left rows without a match. Right keys are made distinct, and hot or NULL left keys are split."""
+    return left.join(dealt_anew(right.select(*keys).distinct()), list(keys), "left_anti")
 
 
 def semi_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    return left.join(right.select(*keys).distinct(), list(keys), "left_semi")
+    """Left rows with a match, in the same way."""
+    return left.join(dealt_anew(right.select(*keys).distinct()), list(keys), "left_semi")
 
 
 def not_in(left: DataFrame, right: DataFrame, col: str, right_col: str | None = None) -> DataFrame:
@@ -55,7 +67,7 @@ def not_in(left: DataFrame, right: DataFrame, col: str, right_col: str | None =
     keys = right.groupBy(r.alias(col)).agg(F.lit(1).alias("__one"))
     facts = keys.agg(F.struct(F.count("*").alias("rows"), F.count_if(F.col(col).isNull()).alias("nulls"))).scalar()
     rows, nulls = F.lit(facts)["rows"], F.lit(facts)["nulls"]
-    keys = keys.drop("__one")
+    keys = dealt_anew(keys.drop("__one"))
     allowed = (rows == 0) | ((nulls == 0) & F.col(col).isNotNull())
     return left.join(keys, [col], "left_anti").filter(allowed)
 

@@ -30,7 +30,8 @@ def load(target: DataFrame, src: DataFrame | None, mode: str, keys: list[str] =
 def upsert(target: DataFrame, src: DataFrame, keys: list[str]) -> DataFrame:
     """Target rows whose key is not staged, plus all staged rows.
 
-    Equality never matches NULL, so a target row with a NULL key always stays.
+    Equality never matches NULL, so a target row with a NULL key always stays; ``anti_join`` splits
+    the task that NULL or hot keys fall to.
     """
     return anti_join(target, src, keys).unionByName(src)
 
@@ -61,8 +62,8 @@ def upsert_snapshot(previous: DataFrame, new: DataFrame, keys: list[str], slot_v
 def merge_latest(previous: DataFrame, new: DataFrame, keys: list[str], order: list) -> DataFrame:
     """Newest new row per key wins, other keys carry their previous row.
 
-    Equal to the full outer join on the keys, written as anti join and union: a hot NULL key then
-    never meets in one task, and no column needs a per-side choice.
+    Equal to the full outer join on the keys, written as anti join and union: adaptive
+    execution splits hot and NULL keys there, and no column needs a per-side choice.
     """
     latest = top_n(new, keys, order, 1)
     nothing = F.lit(True)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.text import csv_record
 from tidemark.functions.times import diff_complete, shift_ts, ts
 from tidemark.operators.aggregates import item_list
-from tidemark.operators.joins import anti_join, union_all
+from tidemark.operators.joins import anti_join, dealt_anew, union_all
 from tidemark.operators.ordered import last_n, running_sum, top_n, value_range
 from tidemark.operators.slots import drop_late
 
@@ -198,5 +198,5 @@ def baskets(labels: DataFrame, end, days: int = 28, feed=None, action: str = "pu
     summed = running_sum(counts, "cnt", [], ["__rare", "product_id"], "acc", bucket=level)
     total = counts.agg(F.sum("cnt")).scalar()
     kept = summed.filter(F.col("acc") < total).select("product_id")
-    rows = bought.join(kept, "product_id", "left_semi")
+    rows = bought.join(dealt_anew(kept), "product_id", "left_semi")
     return item_list(rows, ["viewer_id"], "product_id", out="product_id", count="product_count")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.times import shift_ts, ts
-from tidemark.operators.aggregates import item_list, joined_top
+from tidemark.operators.aggregates import joined_top
+from tidemark.operators.joins import dealt_anew
 from tidemark.operators.ordered import add_rank, add_row_number, sample_per_group, top_n
 
 
@@ -44,7 +45,7 @@ def recent_products(events: DataFrame, actions: dict[str, str], end, days: int =
     counts = rows.groupBy(*keys, "product_id").agg(F.count("*").alias("times"))
     totals = counts.groupBy(*keys).agg(F.sum("times").alias("action_count"))
     placed = add_row_number(counts, keys, ["product_id"], "position")
-    return placed.join(totals, keys)
+    return placed.join(dealt_anew(totals), keys)
 
 
 def user_top_category(events: DataFrame, end, actions: list[str], days: int = 28,
