@@ -14,17 +14,21 @@ def slot_dir(ts) -> str:
     return to_datetime(ts).strftime("year=%Y/month=%m/day=%d/hour=%H")
 
 
+def create_slot_table(spark: SparkSession, table: str, schema: str, root: str, fmt: str = "parquet", slot: str = SLOT) -> None:
+    """Create the external table of hour slots if it is missing."""
+    if "." in table:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schema}, {slot} TIMESTAMP_NTZ) USING {fmt} "
+              f"PARTITIONED BY ({slot}) LOCATION '{root}'")
+
+
 def register_partition(spark: SparkSession, table: str, schema: str, at, location: str,
                        fmt: str = "parquet", base: str | None = None, slot: str = SLOT) -> None:
     """Create the external table if it is missing and add one slot; repeating it changes nothing.
 
     The slot's value and its directory are independent, as the location is given.
     """
-    if "." in table:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
-    root = base or location.rsplit("/year=", 1)[0]
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schema}, {slot} TIMESTAMP_NTZ) USING {fmt} "
-              f"PARTITIONED BY ({slot}) LOCATION '{root}'")
+    create_slot_table(spark, table, schema, base or location.rsplit("/year=", 1)[0], fmt, slot)
     value = to_datetime(at).strftime("%Y-%m-%d %H:%M:%S")
     spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({slot}='{value}') LOCATION '{location}'")
 
