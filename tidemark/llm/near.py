@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm import arrays as A
 from tidemark.llm.bloom import among, without
+from tidemark.llm.graph import components, extended
 from tidemark.llm.storage import parallelism, saved
 
 WORDS = 5
@@ -343,23 +344,6 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame) -> Da
     return rows.mapInArrow(run, "id bigint, shingles binary").join(ids, "id", "left_semi").dropDuplicates(["id"])
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(id, comp) of every vertex of the edges (a, b) that isn't its component's smallest."""
-    stars = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
-    stars, before = saved(stars, "edges"), None
-    while True:
-        both = saved(stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v"))), "both")
-        low = saved(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m")), "low")
-        large = saved(both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
-        low = saved(large.groupBy("u").agg(F.min("v").alias("m")), "low")
-        small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = saved(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "stars")
-        now = tuple(stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == before:
-            return stars.select(F.col("u").alias("id"), F.col("v").alias("comp"))
-        before = now
-
-
 def _blocked(large: DataFrame) -> DataFrame:
     """Number the members of each large node into blocks of about ``SMALL``."""
     blocks = F.ceil(F.col("size") / SMALL).cast("bigint")
@@ -395,28 +379,32 @@ def near_groups(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_
     classes = saved(found.filter("n > 0 and id is not null").groupBy("one", "two").agg(
         F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
     small, large = nodes(classes, den / num - 1.0)
-    blocked = _blocked(large)
-    # first the blocks of a large node one by one, each with the node's first member, so that it links them
-    first = large.groupBy("key").agg(F.min("id").alias("pivot"))
-    alone = blocked.select(F.xxhash64("key", "block", "block").alias("key"), "id", F.col("key").alias("node"))
-    pivots = alone.select("key", "node").distinct().join(first.withColumnRenamed("key", "node"), "node").select("key", F.col("pivot").alias("id"))
-    groups = small.unionByName(alone.select("key", "id")).unionByName(pivots).distinct()
+    groups, some_large = small, not large.isEmpty()
+    if some_large:
+        # first the blocks of a large node one by one, each with the node's first member, so that it links them
+        first = large.groupBy("key").agg(F.min("id").alias("pivot"))
+        alone = _blocked(large).select(F.xxhash64("key", "block", "block").alias("key"), "id", F.col("key").alias("node"))
+        pivots = alone.select("key", "node").distinct().join(first.withColumnRenamed("key", "node"), "node").select("key", F.col("pivot").alias("id"))
+        groups = small.unionByName(alone.select("key", "id")).unionByName(pivots).distinct()
     members = classes.select("id", "n", "sketch")
     rows = groups.join(members, "id").select("key", "id", "n", "sketch", F.col("id").alias("comp"), F.lit(-1).alias("side"))
     tree = saved(forest(rows, num, den), "forest")
-    needed = saved(tree.select(F.explode(F.array("a", "b")).alias("id")).unionByName(large.select("id")).distinct(), "needed")
+    ends = tree.select(F.explode(F.array("a", "b")).alias("id"))
+    needed = saved((ends.unionByName(large.select("id")) if some_large else ends).distinct(), "needed")
     sets = saved(full_sets(docs, id_col, text_col, needed), "sets")
-    links = saved(confirm(saved(partners(tree), "checks"), sets, num, den), "links")
+    links = saved(confirm(partners(tree), sets, num, den), "links")
     comps = saved(components(links), "comps")
     # what the forest left open: groups that have more candidates and members of several components
     open_keys = tree.filter("more").select("key").distinct()
-    blocks = saved(_block_pairs(large, comps), "blocks")
-    rest = small.join(open_keys, "key", "left_semi").withColumn("side", F.lit(-1)).unionByName(blocks)
+    rest = small.join(open_keys, "key", "left_semi").withColumn("side", F.lit(-1))
+    rest = rest.unionByName(saved(_block_pairs(large, comps), "blocks")) if some_large else rest
     labelled = saved(rest.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "labelled")
     several = saved(labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key"), "several")
-    rows = labelled.join(several, "key", "left_semi").join(members, "id").select("key", "id", "n", "sketch", "comp", "side")
-    more = saved(confirm(saved(crossings(rows, num, den), "crossings"), sets, num, den).distinct(), "more")
-    final = saved(components(links.unionByName(more)), "final")
+    final = comps
+    if not several.isEmpty():
+        rows = labelled.join(several, "key", "left_semi").join(members, "id").select("key", "id", "n", "sketch", "comp", "side")
+        more = saved(confirm(saved(crossings(rows, num, den), "crossings"), sets, num, den).distinct(), "more")
+        final = saved(extended(comps, more), "final")
     named = saved(classes.select("one", "two", "id").join(final, "id", "left").select(
         "one", "two", F.coalesce("comp", "id").alias("component_id")), "named")
     joined = found.select("id", "n", "one", "two").join(named, ["one", "two"], "left")
