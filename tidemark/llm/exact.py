@@ -43,7 +43,7 @@ def decide(rows: DataFrame) -> tuple[DataFrame, DataFrame, int]:
         "id", F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     some = flagged.filter("maybe")
     groups = some.groupBy("text_sha256").agg(F.max(F.struct("id", "row")).alias("best"), F.count("*").alias("group_size"))
-    joined = some.join(groups, "text_sha256").select(
+    joined = some.join(groups.hint("rebalance"), "text_sha256").select(  # a shuffle of its own, so that a hot text is split
         "id", F.col("best.id").alias("keep_id"), "group_size", (F.col("row") == F.col("best.row")).alias("kept"), "text_sha256")
     return alone.unionByName(joined), seen, buckets
 
