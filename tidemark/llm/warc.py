@@ -45,7 +45,7 @@ def revisits(rows: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """(page_id, url, digest, response id) of the records that revisit another; ``rows`` are headers."""
     large = rows.filter(F.col("size") >= min_bytes)
     owners = large.groupBy("digest").agg(F.max("page_id").alias("response"), F.count("*").alias("n")).filter("n > 1")
-    joined = large.join(owners.drop("n"), "digest")
+    joined = large.join(owners.drop("n").hint("rebalance"), "digest")  # so that a hot digest is split
     return joined.filter(~F.col("page_id").eqNullSafe(F.col("response"))).select("page_id", "url", "digest", "response")
 
 
@@ -135,7 +135,7 @@ def resolve(records: DataFrame) -> DataFrame:
     plain = records.filter("record_type = 'response'").select(
         "page_id", "payload_bytes", F.sha1("payload").alias("payload_digest"), "record_type", F.lit(None).cast("bigint").alias("refers_to"))
     owners = records.filter("record_type = 'response'").groupBy("record_id", "payload_digest").agg(
-        F.max("page_id").alias("owner"), F.max("payload_bytes").alias("bytes")).withColumnRenamed("record_id", "refers_to_id")
+        F.max("page_id").alias("owner"), F.max("payload_bytes").alias("bytes")).withColumnRenamed("record_id", "refers_to_id").hint("rebalance")
     again = records.filter("record_type = 'revisit'").drop("payload", "payload_bytes").join(
         owners, ["payload_digest", "refers_to_id"], "left")
     return plain.unionByName(again.select(
