@@ -17,8 +17,16 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 END_ID, SEQUENCE = 1, 4096
 
 
+BATCH_BYTES, SPARK_BATCH_BYTES = "8m", "67108864b"
+
+
 def reachable(spark: SparkSession) -> None:
-    """Let Python workers import this package where they share its folder; clusters ship it with --py-files."""
+    """Let Python workers import this package where they share its folder; clusters ship it with --py-files.
+
+    Texts reach them in batches of a few megabytes, unless the session names a size of its own.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == SPARK_BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
 
 
