@@ -65,3 +65,16 @@ def test_toxicity_without_labels(docs, spark):
     found = by_id(toxicity.of_documents(docs(*ODD[:9]), empty))
     assert len(found) == 9 and not any(r["rejected"] for r in found.values())
     assert toxicity.of_documents(docs(), empty).collect() == []
+
+
+def test_suffix_sorts_hold_whole_contexts_and_bounded_bytes():
+    import numpy as np
+    key = np.repeat(np.arange(400), np.random.default_rng(1).integers(1, 60, 400))
+    sizes = np.full(len(key), 91)
+    sizes[key == 7] = suffix.SORT
+    cuts = list(suffix._sorts(key, sizes))
+    assert [c.start for c in cuts[1:]] == [c.stop for c in cuts[:-1]] and (cuts[0].start, cuts[-1].stop) == (0, len(key))
+    assert all(key[c.start] != key[c.start - 1] for c in cuts[1:])
+    alone = [len(set(key[c].tolist())) for c in cuts if sizes[c].sum() > suffix.SORT + 60 * 91]
+    assert alone == [] or max(alone) <= 8  # the large context ends its stretch
+    assert list(suffix._sorts(key[:0], sizes[:0])) == []

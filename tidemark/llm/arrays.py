@@ -6,6 +6,8 @@ task is bounded by one block (or by its longest text).
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,6 +26,15 @@ LOWER[65:91] += 32
 _powers = [np.ones(1, U), np.ones(1, U)]
 
 
+def release() -> None:
+    """Give freed memory back to the machine: workers live on, and what one stage freed would count in the next."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library has it
+    if trim:
+        trim(0)
+
+
 def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (one more than rows) of a text column; null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
