@@ -8,6 +8,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -89,10 +90,12 @@ def test_word_ids_equal_the_tokenizer():
     plain, words = Tokenizer.from_file(queries.WORD_BPE), packing.WordIds(queries.WORD_BPE)
     rng = random.Random(5)
     alphabet = "aAbé É…'s.,!?;:<|endoftext|> \n\x0b\x1c\x85́ß İ ΣσςЖ中 12*-_ "
-    for _ in range(4000):
-        text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(25))) + rng.choice(["", "<|endoftext|>", "<|ENDOFTEXT|>", "World's!!"])
-        ids = np.frombuffer(words.ids(text.encode()), "<u4").tolist()
-        assert ids == plain.encode(text, add_special_tokens=False).ids, repr(text)
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(25))) + rng.choice(["", "<|endoftext|>", "<|ENDOFTEXT|>", "World's!!"])
+             for _ in range(8000)] + [None, "", "x" * 5000, "É́" * 50, "é" * 31 + "ab?!", "aİ.,"]
+    for first in [*range(0, 4000, 7), 4000, 6000]:  # the same words arrive in small and in large batches
+        some = texts[first:first + (7 if first < 4000 else 3000)]
+        for text, packed in zip(some, words.ids(pa.array(some, pa.string())), strict=True):
+            assert np.frombuffer(packed, "<u4").tolist() == plain.encode(text or "", add_special_tokens=False).ids, repr(text)
 
 
 def brute_quality(text):

@@ -19,60 +19,87 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from tokenizers import Tokenizer
+from tokenizers import Encoding, Tokenizer
 
+from tidemark.llm import arrays as A
 from tidemark.llm.storage import saved
 
 SHARD = 16_384
 FULL = 0.97
-MAX_WORDS, MAX_CORES = 200_000, 800_000
+MAX_WORDS = 400_000
 LONGEST_KEPT = 64
+TOGETHER = 256
 SPECIAL, MARKS = b"<|", b".,;:!?"
 
 
-class WordIds(dict):
+class WordIds:
     """Packed ids (uint32, little-endian) of the words met lately, in two generations.
 
-    A new word's upper case and end marks are taken off first, as the words so left are fewer: the
-    tokenizer lower-cases, and splits between a letter and a mark. Those have a table of their own.
+    A new word's upper case and end marks are taken off first, as the parts so left are fewer: the
+    tokenizer lower-cases, and splits between a letter and a mark. New parts are encoded ``TOGETHER`` at a
+    time, as one text with a blank between two of them.
     """
 
     def __init__(self, path: str):
-        super().__init__()
-        self.tokenizer, self.older, self.cores = Tokenizer.from_file(path), {}, {}
-
-    def __missing__(self, word: bytes) -> bytes:
-        packed = self.older.get(word)
-        if packed is None:
-            packed = self._encode(word) if SPECIAL in word or len(word) > LONGEST_KEPT else self._composed(word)
-        if len(self) >= MAX_WORDS:
-            self.older = dict(self)
-            self.clear()
-        if len(word) <= LONGEST_KEPT:
-            self[word] = packed
-        return packed
-
-    def _composed(self, word: bytes) -> bytes:
+        self.tokenizer, self.newer, self.older = Tokenizer.from_file(path), {}, {}
+
+    def of(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of each word; the words are distinct."""
+        found = list(map(self.newer.get, words))
+        new = []
+        for i in [i for i, packed in enumerate(found) if packed is None]:
+            word = words[i]
+            if word in self.older:
+                found[i] = self.newer[word] = self.older[word]
+            else:
+                new.append((i, word, self._split(word)))
+        alone = {parts[0] for _, _, parts in new if len(parts[0]) > LONGEST_KEPT or SPECIAL in parts[0]}
+        ids = {word: array("I", self._encode(word.decode()).ids).tobytes() for word in alone}
+        ids |= self._together(list({part for _, _, parts in new for part in parts}.difference(alone)))
+        for i, word, parts in new:
+            found[i] = b"".join([ids[part] for part in parts])
+            if len(word) <= LONGEST_KEPT:
+                self.newer[word] = found[i]
+        if len(self.newer) >= MAX_WORDS:
+            self.newer, self.older = {}, self.newer
+        return found
+
+    def _split(self, word: bytes) -> tuple[bytes, ...]:
+        """The parts that the tokenizer treats separately; special tokens and long words stay whole."""
+        if len(word) > LONGEST_KEPT or SPECIAL in word:
+            return (word,)
         lower = word.lower()
         core = lower.rstrip(MARKS)
-        if core and core != lower and core.decode()[-1].lower()[-1].isalpha():
-            return self._core(core) + self._core(lower[len(core):])
-        return self._core(lower)
-
-    def _core(self, core: bytes) -> bytes:
-        packed = self.cores.get(core)
-        if packed is None:
-            if len(self.cores) >= MAX_CORES:
-                self.cores.clear()
-            packed = self.cores[core] = self._encode(core)
-        return packed
-
-    def _encode(self, word: bytes) -> bytes:
-        return array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
-
-    def ids(self, text: bytes) -> bytes:
-        """Packed ids of a whole text."""
-        return b"".join(map(self.__getitem__, text.split()))
+        if core and core != lower and (core[-1:].isalpha() or core[-1] > 127 and core.decode()[-1].lower()[-1].isalpha()):
+            return core, lower[len(core):]
+        return (lower,)
+
+    def _encode(self, text: str) -> Encoding:
+        return self.tokenizer.encode(text, add_special_tokens=False)
+
+    def _together(self, parts: list[bytes]) -> dict[bytes, bytes]:
+        ids = {}
+        for first in range(0, len(parts), TOGETHER):
+            some = parts[first:first + TOGETHER]
+            texts = [part.decode() for part in some]
+            found = self._encode(" ".join(texts))
+            # tokens stand in the order of the text, so a part's tokens are those that start before its end
+            starts = np.fromiter((at for at, _ in found.offsets), np.int64, len(found))
+            ends = (4 * np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]))).tolist()
+            packed = np.array(found.ids, "<u4").tobytes()
+            ids.update(zip(some, [packed[a:b] for a, b in zip([0, *ends], ends)]))
+        return ids
+
+    def ids(self, column: pa.Array) -> Iterator[bytes]:
+        """Packed ids of each text of a column; null is an empty text."""
+        for _, data, offsets in A.blocks(column):
+            words = A.words(data, offsets)
+            coded = A.strings(data, words.starts, words.ends).dictionary_encode()
+            packed = pa.array(self.of(coded.dictionary.cast(pa.large_binary()).to_pylist()), pa.large_binary()).take(coded.indices)
+            at = np.frombuffer(packed.buffers()[1], np.int64)[words.first] if len(packed) else words.first
+            joined = packed.buffers()[2].to_pybytes() if len(packed) else b""
+            for begin, end in zip(at[:-1].tolist(), at[1:].tolist()):
+                yield joined[begin:end]
 
 
 @cache
@@ -99,8 +126,8 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int, id_col: str =
             for first in range(0, batch.num_rows, 512):
                 part = batch.slice(first, 512)
                 rows, number, start, ids = [], [], [], []
-                for row, text in enumerate(part.column("__text").cast(pa.binary()).to_pylist()):
-                    packed = table.ids(text or b"") + end
+                for row, packed in enumerate(table.ids(part.column("__text"))):
+                    packed += end
                     for k, at in enumerate(range(0, len(packed), width)):
                         rows.append(row)
                         number.append(k)
