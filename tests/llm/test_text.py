@@ -187,6 +187,43 @@ def test_layout_classes_do_not_remove_the_article():
     assert html.main_text(f'<div class="comments"><p>{text}</p></div>') == text
 
 
+PROSE = "The harbour was rebuilt after the storm, with stone from the old quarry, and it was opened again in spring."
+
+
+@pytest.mark.parametrize("comment", ['class="comment"', 'id="comment-12"', 'class="comment-body odd"', 'itemscope itemtype="https://schema.org/Comment"'])
+def test_main_text_leaves_out_comments_marked_up_as_articles(comment):
+    said = f"<article {comment}><p>{' '.join([PROSE.replace('harbour', 'reply')] * 9)}</p></article>"
+    story = f"<article class='comments-open'><h1>Harbour</h1><p>{PROSE}</p></article>"
+    assert html.main_text(f"<body>{story}<div id='discussion'>{said}{said}</div></body>") == f"Harbour {PROSE}"
+    assert html.main_text(f"<body>{story}{said}</body>") == f"Harbour {PROSE}"
+
+
+def test_main_text_with_elements_that_close_themselves():
+    body = f"<article><h1>Harbour</h1><p>{PROSE}</p></article>"
+    for icon in ("<svg viewBox='0 0 1 1'/>", "<svg class=icon />", "<math/>", "<svg><title>no</title><path d='M0'/></svg>"):
+        assert html.main_text(f"<body>{icon}{body}</body>") == f"Harbour {PROSE}"
+        assert html.main_text(f"<body><p>{icon}{PROSE}</p></body>") == PROSE
+    # on other elements the slash counts for nothing
+    assert html.main_text(f"<body><script src='x'/>var a;</script>{body}</body>") == f"Harbour {PROSE}"
+
+
+def test_main_text_of_pages_and_parts_in_forms():
+    search = "<form><label>Search</label><input name=q><button>Go</button></form>"
+    for inner in (f"<article><p>{PROSE}</p>{search}</article>", f"<div><p>{PROSE}</p></div>"):
+        assert html.main_text(f"<body><form action='/'><nav>Home</nav>{inner}</form></body>") == PROSE
+        assert html.main_text(f"<body>{search}{inner}<form><p>Your name</p><p>Your town</p></form></body>") == PROSE
+    assert html.main_text(f"<body><article><p>{PROSE}</p><form><p>{PROSE * 3}</p></form></article></body>") == PROSE
+    assert html.main_text(f"<body>{search}</body>") == ""
+
+
+def test_main_text_takes_time_in_proportion_to_the_page():
+    from time import process_time
+    for page in ("<div>x" * 20_000, "<b>x" * 20_000 + "<p>y</p></i>" * 5_000, "<p>" * 20_000 + "</q>" * 20_000):
+        start = process_time()
+        html.main_text(page)
+        assert process_time() - start < 3
+
+
 def test_main_text_of_the_table(spark):
     """The article element holds the main text of every page of the table."""
     from html import unescape

@@ -5,26 +5,32 @@ commas to its ancestors, fewer with each level and fewer the more of it is link
 most points is kept, or the article or main element around it as a whole, or else those siblings too that
 score like it or read like prose; elements that by their
 tag, role, class or state are page furniture are left out before. A class or id that names furniture only
-in part doesn't remove what stands around the article, and none counts if nothing would be left.
+in part doesn't remove what stands around the article, and none counts if nothing would be left. A form
+goes, unless an article or main element stands in it or its prose has most points of the page (a page
+wrapped in one form). An article element that its names or its schema call a reader comment goes too.
 
 Character references are decoded, white space inside a block becomes one blank, and the blocks are joined
 in page order by one blank. Nothing is cut: long pages are read whole. Defined results: null and empty
-pages, and pages without text, give an empty text; unclosed tags end where their parent ends; equal rows
-give equal results; other columns are not looked at; an empty table gives an empty table.
+pages, and pages without text, give an empty text; unclosed tags end where their parent ends; a svg or math
+element that closes itself holds nothing; time grows with the length of the page, also where elements are
+nested thousands of levels deep; equal rows give equal results; other columns are not looked at; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-RAW = "script|style|noscript|template|textarea|iframe|title|svg|math|object|select"
+RAW = "script|style|noscript|template|textarea|iframe|title|object|select"
+FOREIGN = "svg|math"  # only here a slash at the end of the tag closes the element
+ATTRIBUTES = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+"
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<({RAW})\b{ATTRIBUTES}>.*?(?:</\1\s*>|\Z)|<({FOREIGN})\b{ATTRIBUTES}(?<!/)>.*?(?:</\2\s*>|\Z)"
     r"|<(/?)([a-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|</?[a-z!?/][^>]*>?", re.S | re.I)
 ATTRIBUTE = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|([a-z-]+)", re.I)
 WORD = re.compile(r"[a-z]+")
@@ -32,14 +38,17 @@ WORD = re.compile(r"[a-z]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr img".split())
-FURNITURE = frozenset("nav header footer aside form button menu dialog fieldset input canvas audio video".split())
+FURNITURE = frozenset("nav header footer aside button menu dialog fieldset input canvas audio video".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
+# Names that public reader-view tools (Arc90's Readability and its successors) take for furniture.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs combx comment comments community cookie "
     "consent disqus footer footnav gdpr header hidden login masthead menu menus meta modal nav navbar navigation newsletter "
     "notice notices outbrain overlay pager pagination paywall popup promo promotion promotions recommended related remark reply "
     "replies respond rss share sharing shoutbox sidebar signup skip social sponsor sponsored sponsors subscribe subscription "
     "tags taboola teaser toolbar topbar widget widgets".split())
+COMMENT = frozenset("comment comments reply replies".split())
+COMMENT_PARTS = COMMENT | frozenset("body box card container content div entry inner item list node single thread user wrapper".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
 ENDS_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav "
@@ -49,6 +58,13 @@ CONTAINERS = {"article": 30.0, "main": 25.0, "section": 3.0, "div": 5.0, "blockq
 KEEP_SHARE, PROSE = 0.2, 80
 
 
+def _is_comment(name: str, value: str) -> bool:
+    """Whether an attribute of an article element says that it holds a reader comment (``comment-body``, not ``comments-open``)."""
+    if name in ("class", "id"):
+        return any(not COMMENT.isdisjoint(words) and COMMENT_PARTS.issuperset(words) for words in map(WORD.findall, value.split()))
+    return name == "itemprop" and value == "comment" or name == "itemtype" and value.rstrip("/").endswith("schema.org/comment")
+
+
 def _furniture(tag: str, attributes: str, marks: bool) -> tuple[bool, int]:
     """Whether tag, role or state say furniture, and how far class and id do: 2 by a whole name, 1 by a part of one."""
     if tag in FURNITURE:
@@ -56,7 +72,9 @@ def _furniture(tag: str, attributes: str, marks: bool) -> tuple[bool, int]:
     mark = 0
     for name, *values, bare in ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = (name or bare).lower(), "".join(values).lower()
-        if name in ("class", "id"):
+        if tag == "article" and marks and _is_comment(name, value):
+            mark = 2
+        elif name in ("class", "id"):
             if marks and tag not in ("body", "html", "article", "main") and not MARKS.isdisjoint(WORD.findall(value)):
                 mark = max(mark, 2 if any(MARKS.issuperset(words) for words in map(WORD.findall, value.split()) if words) else 1)
         elif name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
@@ -75,25 +93,49 @@ class Page:
         self.blocks: list[tuple[int, str, int]] = []
         self.texts: list[str] = []
         self.linked, self.links, self.block_of = 0, 0, 0
+        self.outer = [0]  # for every element itself, or the nearest one around it that isn't inline
+        self.open: Counter[str] = Counter()  # open elements by tag
         stack, at = [0], 0
         for token in TOKEN.finditer(html):
             if token.start() > at:
                 self._text(stack, html[at:token.start()])
             at = token.end()
-            tag = token[3]
+            tag = token[4]
             if tag is None:
                 continue
             tag = tag.lower()
-            if token[2]:
+            if token[3]:
                 self._close(stack, tag)
-            else:
-                self._open(stack, tag, token[4])
+            elif tag not in ("svg", "math"):
+                self._open(stack, tag, token[5])
         if at < len(html):
             self._text(stack, html[at:])
         self._flush()
+        if "form" in self.tags:
+            self._leave_forms()
         if any(self.marks):
             self._leave_out()
 
+    def _leave_forms(self) -> None:
+        """Drop forms and their blocks, but for one around an article or main element, or around most of the page's prose."""
+        prose, total = [0.0] * len(self.parent), 0.0
+        for node, text, linked in self.blocks:
+            worth = _worth(text, linked)
+            total += worth
+            if len(text) >= PROSE:
+                prose[node] += worth
+        holds = [tag in ("article", "main") and not out for tag, out in zip(self.tags, self.dropped)]
+        for node in range(len(prose) - 1, 0, -1):
+            prose[self.parent[node]] += prose[node]
+            holds[self.parent[node]] |= holds[node]
+        within = [False]
+        for node in range(1, len(self.parent)):
+            above, tag = self.parent[node], self.tags[node]
+            within.append(within[above] or self.tags[above] in ("article", "main"))
+            if self.dropped[above] or tag == "form" and not (holds[node] or not within[node] and prose[node] * 2 > total):
+                self.dropped[node] = True
+        self.blocks = [b for b in self.blocks if not self.dropped[b[0]]]
+
     def _leave_out(self) -> None:
         """Drop the blocks of elements with a furniture class or id.
 
@@ -160,6 +202,8 @@ class Page:
         node = len(self.parent)
         self.parent.append(stack[-1])
         self.tags.append(tag)
+        self.outer.append(self.outer[stack[-1]] if tag in INLINE else node)
+        self.open[tag] += 1
         furniture, mark = _furniture(tag, attributes, self.by_marks)
         self.dropped.append(self.dropped[stack[-1]] or furniture)
         self.marks.append(mark)
@@ -170,10 +214,12 @@ class Page:
 
     def _end(self, stack: list[int], tags: set[str]) -> None:
         """Close an open element of these tags, unless a scope stands between."""
+        if not any(self.open[tag] for tag in tags):
+            return
         for depth in range(len(stack) - 1, 0, -1):
             tag = self.tags[stack[depth]]
             if tag in tags:
-                del stack[depth:]
+                self._leave(stack, depth)
                 self._moved(stack)
                 return
             if tag in SCOPES:
@@ -184,18 +230,25 @@ class Page:
             self._flush()
         elif tag == "a":
             self.links = max(0, self.links - 1)
+        if not self.open[tag]:
+            return
         for depth in range(len(stack) - 1, 0, -1):
             found = self.tags[stack[depth]]
             if found == tag:
-                del stack[depth:]
+                self._leave(stack, depth)
                 if tag not in INLINE:
                     self._moved(stack)
                 return
             if tag in INLINE and found in SCOPES:
                 return
 
+    def _leave(self, stack: list[int], depth: int) -> None:
+        for node in stack[depth:]:
+            self.open[self.tags[node]] -= 1
+        del stack[depth:]
+
     def _moved(self, stack: list[int]) -> None:
-        self.block_of = next((n for n in reversed(stack) if self.tags[n] not in INLINE), 0)
+        self.block_of = self.outer[stack[-1]]
         self.links = 0
 
 
@@ -212,18 +265,14 @@ def main_text(html: str | None) -> str:
         page = Page(html, marks=False)
     if not page.blocks:
         return ""
-    points: dict[int, float] = {}
-    length: dict[int, int] = {}
+    found: dict[int, float] = {}
     for node, text, linked in page.blocks:
-        worth = _worth(text, linked)
         node = page.parent[node] if page.tags[node] in ("p", "pre", "h1", "h2", "h3", "h4", "h5", "h6") else node
-        share = 1.0
-        while node >= 0:
-            points[node] = points.get(node, 0.0) + worth * share
-            length[node] = length.get(node, 0) + len(text)
-            node, share = page.parent[node], share / 2.0
-    for node in points:
-        points[node] += CONTAINERS.get(page.tags[node], 0.0) if length[node] else 0.0
+        found[node] = found.get(node, 0.0) + _worth(text, linked)
+    for node in range(len(page.parent) - 1, 0, -1):  # children stand after their parents
+        if node in found:
+            found[page.parent[node]] = found.get(page.parent[node], 0.0) + found[node] / 2.0
+    points = {node: worth + CONTAINERS.get(page.tags[node], 0.0) for node, worth in found.items()}
     best = max(points, key=lambda n: (points[n], -n))
     # an article is kept whole, however its text is wrapped and however long it is
     above = best
