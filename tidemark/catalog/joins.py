@@ -91,6 +91,25 @@ add("J11_attribution", lambda t: joins.attribute(
     "event_id", "click_id", "clicked_at"),
     f"WITH {FIRST_CLICKS} SELECT event_id, click_id, clicked_at FROM purchases JOIN clicks USING (click_id) "
     "WHERE time < clicked_at + INTERVAL 1 DAY")
+# Users see several items before they buy: the last view of the day before counts.
+VIEWS_OF_BUYERS = """p.event_id, p.user_id, p.sales, v.event_id AS view_id, v.time AS viewed_at,
+  row_number() OVER (PARTITION BY p.event_id ORDER BY v.time DESC, v.event_id DESC) AS n
+FROM (SELECT * FROM actions WHERE event_type = 'purchase') p {how} JOIN (SELECT * FROM actions WHERE event_type = 'view') v
+ON v.user_id = p.user_id AND v.time <= p.time AND p.time < v.time + INTERVAL {within}"""
+
+
+def _last_view(t, within, how):
+    views = t.logs("view").select("user_id", "event_id", "time")
+    buys = t.logs("purchase").select("event_id", "user_id", "time", "sales")
+    return joins.attribute_last(buys, views, ["user_id"], "time", "time", {"view_id": "event_id", "viewed_at": "time"}, within, how)
+
+
+add("J11_last_touch", lambda t: _last_view(t, (1, "day"), "left").drop("time"),
+    f"WITH {ACTIONS} SELECT event_id, user_id, CAST(sales AS DOUBLE) AS sales, view_id, viewed_at FROM "
+    f"(SELECT {VIEWS_OF_BUYERS.format(how='LEFT', within='1 DAY')}) WHERE n = 1")
+add("J12_last_touch_lookback", lambda t: _last_view(t, (2, "month"), "inner").drop("time"),
+    f"WITH {ACTIONS} SELECT event_id, user_id, CAST(sales AS DOUBLE) AS sales, view_id, viewed_at FROM "
+    f"(SELECT {VIEWS_OF_BUYERS.format(how='', within='2 MONTH')}) WHERE n = 1")
 add("J12_lookback", lambda t: joins.lookback_join(
     first_clicks(t), with_click_id(t.logs("purchase")).withColumnRenamed("click_id", "cause_id"), "click_id", "cause_id",
     "clicked_at", "time", "2024-01-10 00:00:00", "2024-01-31 00:00:00", (2, "month"), (30, "minute")).select("event_id", "clicked_at"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.catalog.base import add
+from tidemark.catalog.base import REGISTRY, add
 from tidemark.catalog.merges import LINE_KEYS, STATUS, REST, stream
 from tidemark.operators import quality as q
 from tidemark.operators.dedup import dedup_latest
@@ -57,6 +57,23 @@ add("Q06_hours", _hours, row("hours", "count(DISTINCT date_trunc('hour', ts))",
                              "FROM events WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-16'"))
 
 
+def _one_pass(t):
+    """The checks above, but for Q05: three tables, three scans."""
+    e, none = t.events, F.sum(F.when(F.col("o_totalprice") < 0, F.col("o_totalprice")))
+    kind = F.col("event_type")
+    views, clicks = F.count_if(kind == "view"), F.count_if(kind == "click")
+    return q.check_all(t.spark, [
+        q.Check("balance", (e, views), "le", 1000, (e, clicks), 10, -9), q.Check("only x1", (e, views), "gt", 1),
+        q.Check("empty", (t.orders, none), "eq"), q.exists("purchases", e, kind == "purchase"),
+        q.trend("daily", e, "ts", "2024-01-21 00:00:00", "2024-01-22 00:00:00", "2024-01-20 00:00:00", "2024-01-21 00:00:00"),
+        q.reconcile("counts", t.orders, t.lineitem, F.count("*"), F.count_distinct("l_orderkey")),
+        q.hours("hours", e, "ts", "2024-01-15 00:00:00", "2024-01-16 00:00:00")])
+
+
+add("Q01_checks_in_one_pass", _one_pass, " UNION ALL ".join(
+    REGISTRY[k].sql for k in ("Q01_linear", "Q02_exists", "Q03_trend", "Q04_reconcile", "Q06_hours")))
+
+
 def _guard(t):
     """The guard raises when its comparison holds; here it must let the count pass."""
     counts = t.events.groupBy("event_type").agg(F.count("*").alias("n"))

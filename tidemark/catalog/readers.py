@@ -156,6 +156,10 @@ add("S11_dump", lambda t: extract.extract_table(extract.FrameReader(t.orders), C
 add("S12_numeric_extract", lambda t: extract.extract_table(
     extract.FrameReader(t.orders), COLS, "numeric", "o_orderkey", step=2500, number="range_no"),
     _RANGED.format(n=f"(o_orderkey - {_FIRST}) // 2500"))
+# The squared key is uneven: of eight ranges as wide, the first would hold over a third of the rows.
+add("S12_balanced_extract", lambda t: extract.extract_table(
+    extract.FrameReader(t.orders.withColumn("squared", F.col("o_orderkey") * F.col("o_orderkey"))), ["squared", *COLS], "numeric", "squared",
+    parts=8, balanced=True), "SELECT o_orderkey * o_orderkey AS squared, o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders")
 add("S13_timestamp_extract", lambda t: extract.extract_table(
     extract.FrameReader(t.orders), COLS, "timestamp", "o_orderdate", "2000-01-01 00:00:00", "2001-01-01 00:00:00", period="day", number="range_no"),
     _RANGED.format(n="date_sub('day', TIMESTAMP '2000-01-01', o_orderdate)")

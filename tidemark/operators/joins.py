@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.times import as_col, shift_ts, ts
+from tidemark.operators.ordered import carry_last
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
@@ -101,6 +102,30 @@ def attribute(events: DataFrame, causes: DataFrame, key: str, event_ts: str, cau
     return events.join(c, (F.col(key) == F.col("__k")) & (F.col(event_ts) < limit)).drop("__k")
 
 
+def attribute_last(effects: DataFrame, causes: DataFrame, keys: list[str], effect_ts: str, cause_ts: str, values: dict[str, str],
+                   within: tuple[int, str], how: str = "left") -> DataFrame:
+    """Every effect with the last cause of its key at or before it; causes may repeat, and no pairs are formed.
+
+    Causes and effects are united and each effect takes the last cause carried along its key, so work and
+    rows grow with both sides' sum and a hot key is cut into time ranges. ``values`` is output name -> cause
+    column; the cause counts if the effect came before ``within`` had passed since it, else the values are NULL
+    (``how="left"``) or the effect goes (``"inner"``). Of causes at the same time the one with the largest
+    values counts, compared in their order. NULL keys and times match nothing. Both sides name the keys alike.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"how {how!r} is not left or inner")
+    cause = F.struct(F.col(cause_ts).alias("at"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(values.values())])
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*keys, cause_ts]])
+    c = causes.filter(known).select(*keys, F.col(cause_ts).alias("__at"), F.lit(False).alias("__effect"), cause.alias("__cause"))
+    e = effects.withColumns({"__at": F.col(effect_ts), "__effect": F.lit(True)})
+    both = e.unionByName(c, allowMissingColumns=True)
+    found = carry_last(both, "__cause", keys, ["__at", "__effect", "__cause"], "__found").filter("__effect")
+    hit = F.col(effect_ts) < shift_ts("__found.at", *within)
+    out = {name: F.when(hit, F.col(f"__found.v{i}")) for i, name in enumerate(values)}
+    kept = found.filter(hit) if how == "inner" else found
+    return kept.select(*effects.columns, *[c.alias(name) for name, c in out.items()])
+
+
 def lookback_join(causes: DataFrame, effects: DataFrame, cause_key: str, effect_key: str, cause_ts: str,
                   effect_ts: str, start, end, back: tuple[int, str], shift: tuple[int, str]) -> DataFrame:
     """Effects of the shifted window with their cause from up to ``back`` earlier.

@@ -214,6 +214,21 @@ def add_lag(df: DataFrame, col: str, part: list[str], order: list, out: str, buc
     return _attach(rows, heads, part).withColumn(out, value).drop("__head", "__n", *_group(part), _CUT)
 
 
+def carry_last(df: DataFrame, col: str, part: list[str], order: list, out: str, bucket=None) -> DataFrame:
+    """Last value that isn't NULL, up to and including this row; a range without one takes that of the ranges before."""
+    grouped = _grouped(df, part, order, bucket)
+    if grouped is None:
+        upto = Window.partitionBy(*part).orderBy(*order_columns(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(out, F.last(col, ignorenulls=True).over(upto))
+    window = Window.partitionBy(*_group(part)).orderBy(*order_columns(order))
+    rows = grouped.withColumns({out: F.last(col, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, 0)),
+                                "__n": F.row_number().over(window)})
+    at = F.when(F.col(col).isNotNull(), F.col("__n"))
+    last = rows.filter(_CUT).groupBy(*_group(part)).agg(F.max_by(F.col(col), at).alias("__last"))
+    heads = last.select(*_group(part), F.last("__last", ignorenulls=True).over(_before(part, order)).alias("__head"))
+    return _attach(rows, heads, part).withColumn(out, F.coalesce(out, "__head")).drop("__head", "__n", *_group(part), _CUT)
+
+
 def sessionize(df: DataFrame, keys: list[str], col: str, gap_seconds: int, out: str = "session_id",
                bucket=None, source: DataFrame | None = None) -> DataFrame:
     """Number sessions per key; a gap of exactly ``gap_seconds`` stays in one session.

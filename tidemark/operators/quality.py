@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import operator
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators.slots import between_half_open
 
@@ -73,6 +74,79 @@ def check_hours(name: str, df: DataFrame, col: str, hours: int = 24) -> DataFram
     return check_linear(name, df.agg(F.count_distinct(F.date_trunc("hour", F.col(col)))), "eq", hours)
 
 
+@dataclass(frozen=True)
+class Check:
+    """a * x1 + b * x2 (op) threshold. Each measure is a frame and an aggregate over it."""
+    name: str
+    x1: tuple[DataFrame, Column]
+    op: str
+    threshold: float = 0
+    x2: tuple[DataFrame, Column] | None = None
+    a: float = 1
+    b: float = 1
+    null_as_zero: bool = True
+
+    def __post_init__(self):
+        if self.op not in OPERATORS:
+            raise ValueError(f"operator {self.op!r} is not one of {sorted(OPERATORS)}")
+
+
+def exists(name: str, df: DataFrame, pred: Column) -> Check:
+    return Check(name, (df, F.count_if(pred)), "gt")
+
+
+def trend(name: str, df: DataFrame, col: str, start, end, before_start, before_end, ratio: float = 0.9) -> Check:
+    counts = F.count_if(between_half_open(col, start, end)) - F.count_if(between_half_open(col, before_start, before_end)) * F.lit(float(ratio))
+    return Check(name, (df, counts), "ge")
+
+
+def reconcile(name: str, left: DataFrame, right: DataFrame, left_value: Column, right_value: Column) -> Check:
+    return Check(name, (left, left_value), "eq", 0, (right, right_value), 1, -1)
+
+
+def hours(name: str, df: DataFrame, col: str, start, end, wanted: int = 24) -> Check:
+    """Every hour of the window is present; the window is a condition of the aggregate, so other checks share the scan."""
+    hour = F.when(between_half_open(col, start, end), F.date_trunc("hour", F.col(col)))
+    return Check(name, (df, F.count_distinct(hour)), "eq", wanted)
+
+
+def check_all(spark: SparkSession, checks: list[Check]) -> DataFrame:
+    """The results of many checks, a row each: all measures of one source are one aggregate over one scan.
+
+    Frames that mean the same plan are one source, so give windows and filters as conditions of the
+    aggregates. Each source becomes one row of as many values as it has measures, and only these rows meet.
+    A missing value is 0, or an error where ``null_as_zero`` is off. Distinct counts expand the rows of their
+    source once for each such measure, before a partial aggregate.
+    """
+    sources: list[tuple[DataFrame, list[Column]]] = []
+
+    def place(measure: tuple[DataFrame, Column]) -> tuple[int, int]:
+        df, value = measure
+        at = next((i for i, (known, _) in enumerate(sources) if known is df or known.sameSemantics(df)), len(sources))
+        if at == len(sources):
+            sources.append((df, []))
+        sources[at][1].append(value.cast("double"))
+        return at, len(sources[at][1]) - 1
+
+    placed = [(place(c.x1), place(c.x2) if c.x2 else None) for c in checks]
+    facts = [df.agg(*[v.alias(f"m{i}") for i, v in enumerate(values)]).select(F.struct("*")).scalar() for df, values in sources]
+    row = spark.range(1).select(*[F.lit(f).alias(f"s{i}") for i, f in enumerate(facts)])
+
+    def value(at: tuple[int, int] | None, check: Check) -> Column:
+        if at is None:
+            return F.lit(0.0)
+        missing = F.lit(0.0) if check.null_as_zero else F.raise_error(F.lit(f"check {check.name}: no result")).cast("double")
+        return F.coalesce(F.col(f"s{at[0]}.m{at[1]}"), missing)
+
+    results = []
+    for check, (first, second) in zip(checks, placed):
+        lhs = value(first, check) * float(check.a) + value(second, check) * float(check.b)
+        results.append(F.struct(F.lit(check.name).alias("name"), lhs.alias("lhs"), F.lit(check.op).alias("op"),
+                                F.lit(float(check.threshold)).alias("threshold"),
+                                OPERATORS[check.op](lhs, F.lit(float(check.threshold))).alias("passed")))
+    return row.select(F.inline(F.array(*results)))
+
+
 def guard(value, op: str, threshold) -> None:
     """Raise when the comparison holds (the opposite sense of a check)."""
     if OPERATORS[op](value, threshold):

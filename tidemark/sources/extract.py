@@ -1,6 +1,6 @@
 """Extracts from an operational store.
 
-A reader has ``rows(columns, predicates)`` and ``bounds(key)``. Every predicate is one partition of the
+A reader has ``rows(columns, predicates)``, ``bounds(key)`` and ``splits(key, parts, lower, upper)``. Every predicate is one partition of the
 read, so Spark schedules the ranges; nothing is paged with OFFSET.
 """
 
@@ -40,6 +40,15 @@ class JdbcReader:
         found = self.spark.read.jdbc(self.url, self.bounds_query(key), properties=self._props()).first()
         return found["lo"], found["hi"]
 
+    def splits_query(self, key: str, parts: int, lower, upper) -> str:
+        """A table expression of ``parts`` rows: the first key of each tile, so that the store ranks its index and sends no rows."""
+        tiles = f"SELECT {key} AS k, ntile({parts}) OVER (ORDER BY {key}) AS tile FROM {self.table} WHERE {key} >= {lower} AND {key} < {upper}"
+        return f"(SELECT min(k) AS k FROM ({tiles}) t GROUP BY tile) s"
+
+    def splits(self, key: str, parts: int, lower, upper) -> list:
+        found = self.spark.read.jdbc(self.url, self.splits_query(key, parts, lower, upper), properties=self._props())
+        return [r["k"] for r in found.collect()]
+
 
 @dataclass(frozen=True)
 class FrameReader:
@@ -54,26 +63,44 @@ class FrameReader:
         found = self.df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
         return found["lo"], found["hi"]
 
+    def splits(self, key: str, parts: int, lower, upper) -> list:
+        """Approximate quantiles, each off by at most a twentieth of a range's rows; the sketches combine before the shuffle."""
+        grid = F.percentile_approx(key, [i / parts for i in range(1, parts)] or [0.0], F.lit(20 * parts))
+        return self.df.filter((F.col(key) >= lower) & (F.col(key) < upper)).agg(grid).first()[0] or []
+
 
 def extract_table(reader, columns: list[str], mode: str = "dump", key: str | None = None, lower=None, upper=None,
-                  step: int | None = None, parts: int | None = None, period: str = "hour", number: str | None = None) -> DataFrame:
+                  step: int | None = None, parts: int | None = None, period: str = "hour", number: str | None = None,
+                  balanced: bool = False) -> DataFrame:
     """Full dump, or the rows of [lower, upper) of an increment key.
 
     When both bounds are equal that single value is read. A numeric extract without bounds reads the
     key's whole range, its largest value included; a dump with a numeric key is read in such ranges as
     well, and one without is a single partition. The caller gives the ranges' width (``step``) or their
-    number (``parts``), and gets it. ``number`` adds the number of the range each row was read by.
+    number (``parts``), and gets it. ``balanced`` ranges (with ``parts``) hold about as many rows each instead of being
+    as wide, however uneven the key; fewer ranges come back where single keys hold more rows than a range, as
+    rows of one key stay together. ``number`` adds the number of the range each row was read by.
     """
     if mode == "dump" and key is None:
         return reader.rows(columns, None)
+    if balanced and (mode == "timestamp" or parts is None or parts < 1):
+        raise ValueError("balanced ranges need a numeric key and the number of parts")
     if mode in ("dump", "numeric"):
-        ranges, kind = numeric_ranges(*_key_range(reader, key, lower, upper), step, parts), "bigint"
+        low, high = _key_range(reader, key, lower, upper)
+        if balanced:
+            ranges = balanced_ranges(low, high, reader.splits(key, parts, low, high))
+        else:
+            ranges = numeric_ranges(low, high, step, parts)
+        kind = "bigint"
     elif mode == "timestamp":
         ranges, kind = timestamp_ranges(lower, upper, period), "timestamp_ntz"
     else:
         raise ValueError(f"mode {mode!r} is not dump, numeric or timestamp")
     rows = reader.rows(columns, predicates(key, ranges))
-    if number:
+    if number and kind == "bigint" and not balanced:
+        width = max(ranges[0][1] - ranges[0][0], 1)
+        rows = rows.withColumn(number, F.expr(f"CAST((`{key}` - {ranges[0][0]}) DIV {width} AS INT)"))
+    elif number:
         starts = F.lit([str(a) for a, _ in ranges]).cast(f"array<{kind}>")
         rows = rows.withColumn(number, F.size(F.filter(starts, lambda a: a <= F.col(key))) - 1)
     return rows
@@ -101,6 +128,14 @@ def numeric_ranges(lower: int, upper: int, step: int | None = None, parts: int |
     return [(a, min(a + step, upper)) for a in range(lower, upper, step)]
 
 
+def balanced_ranges(lower: int, upper: int, splits: list[int]) -> list[tuple[int, int]]:
+    """Half-open ranges between the split keys that lie inside the bounds; together they are [lower, upper)."""
+    if lower > upper:
+        raise ValueError(f"lower {lower} is above upper {upper}")
+    cuts = [lower, *sorted({int(s) for s in splits if lower < s < upper}), upper]
+    return list(zip(cuts, cuts[1:]))
+
+
 def timestamp_ranges(lower, upper, period: str = "hour") -> list[tuple[datetime, datetime]]:
     """Half-open hour or day windows, the last one cut at the upper bound."""
     lo, hi = to_datetime(lower), to_datetime(upper)
