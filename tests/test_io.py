@@ -94,6 +94,16 @@ def test_numeric_ranges_cover_the_largest_key(frame):
     assert extract.extract_table(extract.FrameReader(one.filter("k < 0")), ["k"], "numeric", "k").count() == 0
 
 
+def test_many_ranges_of_a_frame_are_one_test_of_a_row(frame):
+    df = frame("k int", *[(i,) for i in range(0, 900)], (None,))
+    got = extract.extract_table(extract.FrameReader(df), ["k"], "numeric", "k", step=2, number="part")
+    assert got.groupBy("part").count().filter("count = 2").count() == 450 and got.count() == 900
+    some = extract.extract_table(extract.FrameReader(df), ["k"], "numeric", "k", 100, 200, step=7)
+    assert rows(some) == sorted(((i,) for i in range(100, 200)), key=str)
+    for plan in (got, some):
+        assert " OR " not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_timestamp_ranges_are_cut_at_the_end():
     got = extract.predicates("t", extract.timestamp_ranges("2024-01-01 00:00:00", "2024-01-01 02:30:00"))
     assert len(got) == 3 and got[-1] == "t >= '2024-01-01 02:00:00' AND t < '2024-01-01 02:30:00'"

@@ -1,7 +1,8 @@
 """Extracts from an operational store.
 
 A reader has ``rows(columns, predicates)``, ``bounds(key)`` and ``splits(key, parts, lower, upper)``. Every predicate is one partition of the
-read, so Spark schedules the ranges; nothing is paged with OFFSET.
+read, so Spark schedules the ranges; nothing is paged with OFFSET. A DataFrame brings its own partitions, so its ranges, which follow each
+other without gaps, are read by their outer bounds: a row is tested once, however many ranges there are.
 """
 
 from __future__ import annotations
@@ -96,7 +97,8 @@ def extract_table(reader, columns: list[str], mode: str = "dump", key: str | Non
         ranges, kind = timestamp_ranges(lower, upper, period), "timestamp_ntz"
     else:
         raise ValueError(f"mode {mode!r} is not dump, numeric or timestamp")
-    rows = reader.rows(columns, predicates(key, ranges))
+    reads = [(ranges[0][0], ranges[-1][1])] if isinstance(reader, FrameReader) else ranges
+    rows = reader.rows(columns, predicates(key, reads))
     if number and kind == "bigint" and not balanced:
         width = max(ranges[0][1] - ranges[0][0], 1)
         rows = rows.withColumn(number, F.expr(f"CAST((`{key}` - {ranges[0][0]}) DIV {width} AS INT)"))
