@@ -149,3 +149,25 @@ def test_cards(frame):
     df = frame("name string, attributes string", ("s", '{"exposure_0": "1", "exposure_4": "1"}'), ("s", "{}"), ("s", "{x"), ("t", "{}"))
     got = marts.card_sessions(df, "s")
     assert rows(got, "watched_count", "skipped_count", "last_watched_card", "session_id") == [(0, 0, 0, "0"), (2, 3, 5, "0")]
+
+
+def test_network_reports_match_in_the_join_alone(frame):
+    reports = frame("report_id int, adnetwork_id int, app_id string, placement_id string, country string",
+                    *[(1, 1, "a", None, "KR"), (2, 1, "a", None, "US"), (3, 1, None, None, "KR")] * 2)
+    configs = frame("adnetwork_id int, app_id string, placement_id string, country string, target_unit string, lineitem_id int",
+                    *[(1, "a", "", "KR", "5,6", 7), (1, "a", None, "ZZ", "8", 9), (1, "", "", "KR", "1", 1)] * 2)
+    got = marts.map_network_reports(reports, configs)
+    assert rows(got, "report_id", "unit_id", "lineitem_id") == [(1, 5, 7), (2, 8, 9)]
+    assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+
+
+def test_page_views_with_repeated_rows_keep_no_second_set_of_pairs(frame):
+    imps = frame("unit_id long, initial_allocation_id long", *[(1, 1), (1, 1), (1, 2), (2, 1), (1, None), (None, 1), (1, 9)] * 2)
+    allocs = frame("request_id long, created_at timestamp_ntz", *[(1, D(2024, 1, 1)), (1, D(2024, 1, 1, 1)), (1, D(2024, 1, 3)), (2, None)] * 2)
+    units = frame("unit_id long, unit_name string, unit_type string", *[(1, "a", "x"), (1, "b", None), (2, "c", "x")] * 2)
+    got = reach.page_views(imps, allocs, units)
+    day, later = D(2024, 1, 1), D(2024, 1, 3)
+    assert rows(got) == sorted([(d, u, n, k, 1) for d in (day, later, None) for u, n, k in ((1, "a", "x"), (1, "b", None), (2, "c", "x")) if d or u == 1],
+                               key=lambda r: tuple((v is not None, str(v)) for v in r))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "count(distinct" not in plan and plan.count("RepartitionByExpression [initial_allocation_id") == 2

@@ -10,6 +10,7 @@ from tidemark.functions.numbers import clean_demographics
 from tidemark.functions.times import business_day, to_datetime, trunc_ts, ts
 from tidemark.operators.aggregates import merge_measures
 from tidemark.operators.joins import anti_join
+from tidemark.operators.ordered import range_count
 from tidemark.operators.slots import between_half_open
 
 GRAINS = {
@@ -110,12 +111,18 @@ def unique_clickers(clicks: DataFrame, units: DataFrame, name_like: str, grain:
 
 
 def page_views(imps: DataFrame, allocs: DataFrame, units: DataFrame) -> DataFrame:
-    """Distinct first allocations seen per unit and local day; allocations are unique by request_id."""
-    seen = imps.select("unit_id", "initial_allocation_id").distinct()
-    rows = seen.join(allocs.select(F.col("request_id").alias("initial_allocation_id"), "created_at"),
-                     "initial_allocation_id").join(units, "unit_id")
-    return rows.groupBy(business_day("created_at").alias("kst_at"), "unit_id", "unit_name",
-                        "unit_type").agg(F.count_distinct("initial_allocation_id").alias("pv"))
+    """Distinct first allocations seen per unit and local day.
+
+    Impressions and allocations meet in one shuffle by allocation, in parts that aren't merged into larger ones,
+    and are made distinct there. What follows are plain counts, so a task holds only its part's pairs, once.
+    """
+    key = "initial_allocation_id"
+    part = lambda df: df.filter(F.col(key).isNotNull()).repartition(range_count(df), key).distinct()
+    seen = part(imps.select("unit_id", key))
+    served = part(allocs.select(F.col("request_id").alias(key), business_day("created_at").alias("kst_at")))
+    counts = seen.join(served, key).groupBy("kst_at", "unit_id").agg(F.count("*").alias("pv"))
+    names = units.select("unit_id", "unit_name", "unit_type").distinct()
+    return counts.join(names, "unit_id").select("kst_at", "unit_id", "unit_name", "unit_type", "pv")
 
 
 def daily_demographics(events: DataFrame, start, end, dims: list[str], out: str,
