@@ -93,6 +93,16 @@ def test_fallback_uses_wildcard_only_without_exact_match(frame):
     assert rows(got, "id", "d") == [(1, 1), (2, 2), (3, 3), (5, 2)]
 
 
+def test_fallback_rows_come_once_without_keeping_the_joined_rows(frame):
+    fact = frame("id int, app string, country string", *[(1, "a", "KR"), (1, "a", "KR"), (2, None, "US"), (2, "", "US")] * 2)
+    dim = frame("app string, country string, d int", *[("a", "KR", 1), ("a", "KR", 2), ("", "ZZ", 3), (None, "ZZ", 3)] * 2)
+    got = joins.fallback_join(fact, dim, ["app"], "country", "ZZ")
+    assert rows(got, "id", "app", "d") == [(1, "a", 1), (1, "a", 2), (2, None, 3), (2, "", 3)]
+    above = got._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "Aggregate" not in above and "Repartition" not in above
+    assert got.rdd.getNumPartitions() >= 64  # few bytes of facts and configs, many rows of output
+
+
 def test_attribution_ends_before_the_limit(frame):
     events = frame("c string, t timestamp_ntz", ("x", D(2024, 1, 2)), ("x", D(2024, 1, 1, 23, 59, 59)), ("y", D(2024, 1, 1)))
     clicks = frame("c string, at timestamp_ntz", ("x", D(2024, 1, 1)))
