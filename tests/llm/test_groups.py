@@ -218,6 +218,17 @@ def test_a_hot_string_is_not_sorted_in_one_task(docs, monkeypatch):
     assert all(r["count"] <= suffix.HOT for frame in keyed for r in frame.groupBy("key").count().collect())
 
 
+def test_halves_of_blocks_are_not_tested_one_by_one_against_a_filter(docs, monkeypatch):
+    """A filter's row of bits for each half of a block filled an executor's memory."""
+    seen, plain = [], suffix.among
+    monkeypatch.setattr(suffix, "among", lambda rows, *a, **b: seen.append(rows.columns) or plain(rows, *a, **b))
+    monkeypatch.setattr(suffix, "HOT", 5)
+    rows = passages(2)
+    got = by_id(suffix.of_documents(docs(*rows)))
+    assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in got.items()} == brute_repeats([(i, t.encode()) for i, t in rows])
+    assert seen and not any("content" in columns for columns in seen)
+
+
 def test_context_filter_stays_within_its_bound(docs, monkeypatch):
     monkeypatch.setattr(suffix, "MAX_BITS", 24_576)
     rows = passages(2)

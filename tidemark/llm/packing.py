@@ -29,11 +29,35 @@ FULL = 0.97
 MAX_WORDS = 400_000
 LONGEST_KEPT = 64
 TOGETHER = 256
+ROWS, TEXT = 2048, 1 << 22  # rows and bytes whose words are looked up at once
 SPECIAL, MARKS = b"<|", b".,;:!?"
 
 
+class Lately:
+    """Packed ids of the keys met lately, in two generations of about ``MAX_WORDS``."""
+
+    def __init__(self):
+        self.newer, self.older = {}, {}
+
+    def find(self, keys: list[bytes]) -> tuple[list[bytes | None], list[int]]:
+        """Packed ids of each key, and the numbers of the keys not met."""
+        found = list(map(self.newer.get, keys))
+        missing = [i for i, packed in enumerate(found) if packed is None]
+        if missing and self.older:
+            for i in missing:
+                found[i] = self.older.get(keys[i])
+            self.add({keys[i]: found[i] for i in missing if found[i] is not None})
+            missing = [i for i in missing if found[i] is None]
+        return found, missing
+
+    def add(self, made: dict[bytes, bytes]) -> None:
+        if len(self.newer) >= MAX_WORDS:
+            self.newer, self.older = {}, self.newer
+        self.newer |= made
+
+
 class WordIds:
-    """Packed ids (uint32, little-endian) of the words met lately, in two generations.
+    """Packed ids (uint32, little-endian) of words; words and their parts met lately are kept.
 
     A new word's upper case and end marks are taken off first, as the parts so left are fewer: the
     tokenizer lower-cases, and splits between a letter and a mark. New parts are encoded ``TOGETHER`` at a
@@ -41,29 +65,34 @@ class WordIds:
     """
 
     def __init__(self, path: str):
-        self.tokenizer, self.newer, self.older = Tokenizer.from_file(path), {}, {}
+        self.tokenizer, self.words, self.parts = Tokenizer.from_file(path), Lately(), Lately()
 
     def of(self, words: list[bytes]) -> list[bytes]:
         """Packed ids of each word; the words are distinct."""
-        found = list(map(self.newer.get, words))
-        new = []
-        for i in [i for i, packed in enumerate(found) if packed is None]:
-            word = words[i]
-            if word in self.older:
-                found[i] = self.newer[word] = self.older[word]
-            else:
-                new.append((i, word, self._split(word)))
-        alone = {parts[0] for _, _, parts in new if len(parts[0]) > LONGEST_KEPT or SPECIAL in parts[0]}
-        ids = {word: array("I", self._encode(word.decode()).ids).tobytes() for word in alone}
-        ids |= self._together(list({part for _, _, parts in new for part in parts}.difference(alone)))
-        for i, word, parts in new:
-            found[i] = b"".join([ids[part] for part in parts])
-            if len(word) <= LONGEST_KEPT:
-                self.newer[word] = found[i]
-        if len(self.newer) >= MAX_WORDS:
-            self.newer, self.older = {}, self.newer
+        found, new = self.words.find(words)
+        split = [self._split(words[i]) for i in new]
+        ids = self._parts(list({part for parts in split for part in parts}))
+        made = {}
+        for i, parts in zip(new, split):
+            packed = found[i] = ids[parts[0]] if len(parts) == 1 else ids[parts[0]] + ids[parts[1]]
+            if len(words[i]) <= LONGEST_KEPT:
+                made[words[i]] = packed
+        self.words.add(made)
         return found
 
+    def _parts(self, parts: list[bytes]) -> dict[bytes, bytes]:
+        """Packed ids of distinct parts."""
+        found, new = self.parts.find(parts)
+        ids, rest = dict(zip(parts, found)), []
+        for part in [parts[i] for i in new]:
+            if len(part) > LONGEST_KEPT or SPECIAL in part:
+                ids[part] = array("I", self._encode(part.decode()).ids).tobytes()
+            else:
+                rest.append(part)
+        made = self._together(rest)
+        self.parts.add(made)
+        return ids | made
+
     def _split(self, word: bytes) -> tuple[bytes, ...]:
         """The parts that the tokenizer treats separately; special tokens and long words stay whole."""
         if len(word) > LONGEST_KEPT or SPECIAL in word:
@@ -92,7 +121,7 @@ class WordIds:
 
     def ids(self, column: pa.Array) -> Iterator[bytes]:
         """Packed ids of each text of a column; null is an empty text."""
-        for _, data, offsets in A.blocks(column):
+        for _, data, offsets in A.blocks(column, TEXT):
             words = A.words(data, offsets)
             coded = A.strings(data, words.starts, words.ends).dictionary_encode()
             packed = pa.array(self.of(coded.dictionary.cast(pa.large_binary()).to_pylist()), pa.large_binary()).take(coded.indices)
@@ -123,8 +152,8 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int, id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _word_ids(path)
         for batch in batches:
-            for first in range(0, batch.num_rows, 512):
-                part = batch.slice(first, 512)
+            for first in range(0, batch.num_rows, ROWS):
+                part = batch.slice(first, ROWS)
                 rows, number, start, ids = [], [], [], []
                 for row, packed in enumerate(table.ids(part.column("__text"))):
                     packed += end

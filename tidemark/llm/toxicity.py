@@ -18,11 +18,12 @@ gives an empty table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm import arrays as A
@@ -36,6 +37,7 @@ MIN_GAIN = 15.0  # half the G-statistic; chance alone exceeds it about once in 2
 MIN_ROWS = 8
 FOLDS = 3
 LIMIT = 0.4
+STRETCH = 1 << 18  # (row, column) pairs taken at once: about fifty bytes of memory for each
 BLANK = A.LOWER.copy()
 BLANK[A.SPACE] = 32
 
@@ -57,6 +59,15 @@ def _present(bucket: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return (pairs & ((1 << BITS) - 1)).astype(np.int32), (pairs >> BITS).astype(np.int32)
 
 
+def _tally(index: np.ndarray, weight: Callable[[slice], np.ndarray], size: int) -> np.ndarray:
+    """``bincount`` of the index, a stretch at a time; the sums carry on, so they are the same to the last bit."""
+    total = np.zeros(size)
+    for first in range(0, len(index), STRETCH):
+        part = slice(first, first + STRETCH)
+        total = np.bincount(np.concatenate([np.arange(size, dtype=index.dtype), index[part]]), weights=np.concatenate([total, weight(part)]))
+    return total
+
+
 @dataclass
 class Linear:
     weights: np.ndarray
@@ -65,7 +76,8 @@ class Linear:
     def probability(self, rows: np.ndarray, cols: np.ndarray, extra: np.ndarray, n: int) -> np.ndarray:
         """Features as (row, column) pairs; ``extra`` holds the earlier categories' log odds."""
         k = extra.shape[1]
-        x = np.bincount(rows, weights=self.weights[cols + k], minlength=n) + extra @ self.weights[:k] + self.bias
+        weights = self.weights[k:]
+        x = _tally(rows, lambda part: weights[cols[part]], n) + extra @ self.weights[:k] + self.bias
         return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 
 
@@ -76,7 +88,7 @@ def fit_linear(rows, cols, extra, y, width: int, steps: int = 60, ridge: float =
     def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
         p = Linear(w[:-1], w[-1]).probability(rows, cols, extra, len(y))
         error = (p - y) / n
-        slope = np.concatenate([extra.T @ error, np.bincount(cols, weights=error[rows], minlength=width), [error.sum()]])
+        slope = np.concatenate([extra.T @ error, _tally(cols, lambda part: error[rows[part]], width), [error.sum()]])
         slope[:-1] += ridge * w[:-1]
         safe = np.clip(np.where(y > 0, p, 1 - p), 1e-13, 1)
         return -np.log(safe).sum() / n + ridge / 2 * float(w[:-1] @ w[:-1]), slope
@@ -142,7 +154,7 @@ def fit_chain(column_of: np.ndarray, width: int, rows: np.ndarray, cols: np.ndar
         guess = np.zeros(n)
         for f in range(FOLDS) if c + 1 < labels.shape[1] else ():
             learn = fold != f
-            number = np.cumsum(learn) - 1
+            number = (np.cumsum(learn) - 1).astype(rows.dtype)
             mine = learn[rows]
             part = fit_linear(number[rows[mine]], cols[mine], extra[learn], y[learn], width)
             guess[~learn] = part.probability(rows, cols, extra, n)[~learn]
@@ -206,12 +218,18 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
     table = sample.mapInArrow(narrow, f"id {kind}, " + ", ".join(f"{n} int" for n in named) + ", cols array<int>")
     table = table.withColumn("fold", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(FOLDS))).orderBy("id").toArrow()
     y = np.stack([table[n].to_numpy() for n in named], axis=1) if table.num_rows else np.zeros((0, len(named)))
-    lists = table["cols"].combine_chunks()
-    rows = np.repeat(np.arange(table.num_rows), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(int))
-    cols = lists.flatten().to_numpy()
     if table.num_rows == 0:
         return Chain(column_of, [Linear(np.zeros(len(chosen) + k), -30.0) for k in range(len(named))])
-    return fit_chain(column_of, len(chosen), rows, cols, y, table["fold"].to_numpy())
+    fold, lists = table["fold"].to_numpy(), table["cols"]
+    sizes = pc.list_value_length(lists).to_numpy().astype(int)
+    rows = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    cols = np.concatenate([chunk.flatten().to_numpy() for chunk in lists.chunks])
+    del table, lists  # the driver holds the pairs once
+    A.release()
+    chain = fit_chain(column_of, len(chosen), rows, cols, y, fold)
+    del rows, cols
+    A.release()
+    return chain
 
 
 def kept_features(data: np.ndarray, offsets: np.ndarray, column_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
