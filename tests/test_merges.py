@@ -1,3 +1,4 @@
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -103,6 +104,20 @@ def test_fallback_rows_come_once_without_keeping_the_joined_rows(frame):
     assert got.rdd.getNumPartitions() >= 64  # few bytes of facts and configs, many rows of output
 
 
+def test_fallback_deals_a_hot_key_over_tasks(spark, frame):
+    fact = frame("id int, app string, net int, country string", *[(i, "a", 1 if i % 50 else None, "KR") for i in range(600)], (600, "b", 1, "KR"), (600, "b", 1, "US"))
+    dim = frame("app string, net int, country string, d int", *[("a", 1, "ZZ", i) for i in range(40)], ("a", None, "ZZ", 99), ("b", 1, "KR", 1), ("b", 1, "ZZ", 2), (None, 1, "ZZ", 3))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = joins.fallback_join(fact, dim, ["app", "net"], "country", "ZZ").withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted((r.id, r.d) for r in got) == sorted([(i, d) for i in range(600) if i % 50 for d in range(40)] + [(600, 1), (600, 2)])
+    most = Counter(r.task for r in got).most_common(1)[0][1]
+    assert most < len(got) / 10, most  # all of them in one task where a key stays in one piece
+
+
 def test_attribution_ends_before_the_limit(frame):
     events = frame("c string, t timestamp_ntz", ("x", D(2024, 1, 2)), ("x", D(2024, 1, 1, 23, 59, 59)), ("y", D(2024, 1, 1)))
     clicks = frame("c string, at timestamp_ntz", ("x", D(2024, 1, 1)))
