@@ -276,3 +276,12 @@ def test_toxic_words_are_caught(docs, spark):
     got = by_id(toxicity.of_documents(docs(*rows), labels))
     wrong = [i for i in range(400, 800) if got[i]["rejected"] != (i % 4 == 0)]
     assert len(wrong) <= 4
+
+
+def test_words_that_are_their_own_part_are_kept_once():
+    words = packing.WordIds(queries.WORD_BPE)
+    new = [f"w{i}x".encode() for i in range(3000)]
+    words.of(new)
+    words.of([b"W7x.", b"w7x", b"Other"])
+    kept = [key for t in vars(words).values() if isinstance(t, packing.Lately) for some in (t.newer, t.older) for key in some]
+    assert sorted(kept) == sorted([*new, b"W7x.", b".", b"Other", b"other"])

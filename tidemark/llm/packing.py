@@ -14,6 +14,7 @@ from __future__ import annotations
 from array import array
 from collections.abc import Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,7 @@ MAX_WORDS = 400_000
 LONGEST_KEPT = 64
 TOGETHER = 256
 ROWS, TEXT = 2048, 1 << 22  # rows and bytes whose words are looked up at once
+OUT = 256  # rows whose ids are given out at once
 SPECIAL, MARKS = b"<|", b".,;:!?"
 
 
@@ -57,7 +59,7 @@ class Lately:
 
 
 class WordIds:
-    """Packed ids (uint32, little-endian) of words; words and their parts met lately are kept.
+    """Packed ids (uint32, little-endian) of words; words and their parts met lately are kept, in one table.
 
     A new word's upper case and end marks are taken off first, as the parts so left are fewer: the
     tokenizer lower-cases, and splits between a letter and a mark. New parts are encoded ``TOGETHER`` at a
@@ -65,24 +67,24 @@ class WordIds:
     """
 
     def __init__(self, path: str):
-        self.tokenizer, self.words, self.parts = Tokenizer.from_file(path), Lately(), Lately()
+        self.tokenizer, self.known = Tokenizer.from_file(path), Lately()
 
     def of(self, words: list[bytes]) -> list[bytes]:
         """Packed ids of each word; the words are distinct."""
-        found, new = self.words.find(words)
+        found, new = self.known.find(words)
         split = [self._split(words[i]) for i in new]
         ids = self._parts(list({part for parts in split for part in parts}))
         made = {}
         for i, parts in zip(new, split):
             packed = found[i] = ids[parts[0]] if len(parts) == 1 else ids[parts[0]] + ids[parts[1]]
-            if len(words[i]) <= LONGEST_KEPT:
+            if parts[0] is not words[i] and len(words[i]) <= LONGEST_KEPT:  # a word that is its own part is kept already
                 made[words[i]] = packed
-        self.words.add(made)
+        self.known.add(made)
         return found
 
     def _parts(self, parts: list[bytes]) -> dict[bytes, bytes]:
         """Packed ids of distinct parts."""
-        found, new = self.parts.find(parts)
+        found, new = self.known.find(parts)
         ids, rest = dict(zip(parts, found)), []
         for part in [parts[i] for i in new]:
             if len(part) > LONGEST_KEPT or SPECIAL in part:
@@ -90,7 +92,7 @@ class WordIds:
             else:
                 rest.append(part)
         made = self._together(rest)
-        self.parts.add(made)
+        self.known.add(made)
         return ids | made
 
     def _split(self, word: bytes) -> tuple[bytes, ...]:
@@ -101,7 +103,7 @@ class WordIds:
         core = lower.rstrip(MARKS)
         if core and core != lower and (core[-1:].isalpha() or core[-1] > 127 and core.decode()[-1].lower()[-1].isalpha()):
             return core, lower[len(core):]
-        return (lower,)
+        return (word,) if lower == word else (lower,)
 
     def _encode(self, text: str) -> Encoding:
         return self.tokenizer.encode(text, add_special_tokens=False)
@@ -123,7 +125,7 @@ class WordIds:
         """Packed ids of each text of a column; null is an empty text."""
         for _, data, offsets in A.blocks(column, TEXT):
             words = A.words(data, offsets)
-            coded = A.strings(data, words.starts, words.ends).dictionary_encode()
+            coded = A.word_strings(data, words).dictionary_encode()
             packed = pa.array(self.of(coded.dictionary.cast(pa.large_binary()).to_pylist()), pa.large_binary()).take(coded.indices)
             at = np.frombuffer(packed.buffers()[1], np.int64)[words.first] if len(packed) else words.first
             joined = packed.buffers()[2].to_pybytes() if len(packed) else b""
@@ -154,18 +156,20 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int, id_col: str =
         for batch in batches:
             for first in range(0, batch.num_rows, ROWS):
                 part = batch.slice(first, ROWS)
-                rows, number, start, ids = [], [], [], []
-                for row, packed in enumerate(table.ids(part.column("__text"))):
-                    packed += end
-                    for k, at in enumerate(range(0, len(packed), width)):
-                        rows.append(row)
-                        number.append(k)
-                        start.append(at // 4)
-                        ids.append(packed[at:at + width])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(rows, pa.int64())), pa.array(number, pa.int32()), pa.array(start, pa.int64()),
-                     pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
-                    [id_col, "piece", "start", "length", "ids"])
+                texts = enumerate(table.ids(part.column("__text")))
+                while some := list(islice(texts, OUT)):
+                    rows, number, start, ids = [], [], [], []
+                    for row, packed in some:
+                        packed += end
+                        for k, at in enumerate(range(0, len(packed), width)):
+                            rows.append(row)
+                            number.append(k)
+                            start.append(at // 4)
+                            ids.append(packed[at:at + width])
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0).take(pa.array(rows, pa.int64())), pa.array(number, pa.int32()), pa.array(start, pa.int64()),
+                         pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
+                        [id_col, "piece", "start", "length", "ids"])
 
     return source.mapInArrow(run, schema)
 
