@@ -43,6 +43,15 @@ def test_bpe_equals_tiktoken_and_comes_back(docs, texts):
         assert got[i]["decoded_sha256"] == hashlib.sha256((text or "").encode()).hexdigest()
 
 
+def test_bpe_encodes_and_decodes_in_one_worker(docs):
+    some = docs((1, "Wörter, und mehr"), (2, None), (3, "a\n\n b's"))
+    plan = bpe.of_documents(some, queries.BPE_RANKS, queries.BPE_PATTERN)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1  # each has a worker, and tables, of its own
+    both = bpe.round_trip(some, queries.BPE_RANKS, queries.BPE_PATTERN)
+    apart = bpe.decode(bpe.encode(some, queries.BPE_RANKS, queries.BPE_PATTERN), queries.BPE_RANKS)
+    assert both.columns == apart.columns and by_id(both) == by_id(apart)
+
+
 def test_tokens_agree_only_if_merges_give_them_back():
     machine = bpe.Transducer(bpe.read_ranks(queries.BPE_RANKS))
     rng = random.Random(2)

@@ -19,9 +19,10 @@ columns pass through unless the output's name hides them; an empty table gives a
 from __future__ import annotations
 
 import base64
+import gc
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 from itertools import accumulate
 from operator import getitem
@@ -30,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 MAX_STATES = 100_000
 MAX_PAIRS = 400_000
@@ -50,9 +52,11 @@ class State(dict):
 
     __slots__ = ("items", "last", "step")
 
-    def __init__(self, items: tuple, last: int, step):
-        super().__init__()
-        self.items, self.last, self.step = items, last, step
+    @classmethod
+    def of(cls, items: tuple, last: int, step) -> "State":
+        state = cls()
+        state.items, state.last, state.step = items, last, step
+        return state
 
     def __missing__(self, byte: int) -> "State":
         found = self[byte] = self.step(self.items, byte)
@@ -86,7 +90,7 @@ class Transducer:
         """An item is node << BITS | token before + 1 (0: none)."""
         for state in self.states.values():
             state.clear()  # states refer to each other
-        self.start = State((0,), -1, self._step)
+        self.start = State.of((0,), -1, self._step)
         self.states = {self.start.items: self.start}
 
     def merge(self, piece: bytes, stop: int = 1) -> list[int]:
@@ -169,7 +173,7 @@ class Transducer:
         key = tuple(items)
         state = self.states.get(key)
         if state is None:
-            state = self.states[key] = State(key, last, self._step)
+            state = self.states[key] = State.of(key, last, self._step)
         return state
 
     def encode(self, piece: bytes) -> list[int]:
@@ -310,7 +314,7 @@ class Decoder:
                 state, whole = 0, at
             at += 1
         self.state = state
-        tokens = [self.bytes_of[i] for i in tokens]
+        tokens = list(map(self.bytes_of.__getitem__, tokens))
         if whole < 0:
             self.kept += tokens
             return b""
@@ -361,6 +365,48 @@ def _with(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], column], [*names, name])
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def _encoding(path: str, pattern: str, chunks: str, out: str) -> Callable[[Batches], Batches]:
+    """Replace the texts of a column by their ids, batch by batch."""
+    def run(batches: Batches) -> Batches:
+        split, table = _encoder(path, pattern, chunks)
+        gc.disable()  # it would walk the tables, whose only cycles are those that _reset takes apart
+        try:
+            for batch in batches:
+                for part in _sliced(batch):
+                    packed = [b"".join(map(table.__getitem__, split(text))) if text else b"" for text in part.column(out).to_pylist()]
+                    ends = np.cumsum([0, *[len(p) // 4 for p in packed]])
+                    flat = pa.array(np.frombuffer(b"".join(packed), "<i4"))
+                    yield _with(part, out, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat))
+        finally:
+            gc.enable()
+    return run
+
+
+def _decoding(path: str, ids_col: str, out: str) -> Callable[[Batches], Batches]:
+    """Add the bytes that a column of ids stands for, batch by batch."""
+    def run(batches: Batches) -> Batches:
+        decoder = _decoder(path)
+        for batch in batches:
+            for part in _sliced(batch):
+                found = []
+                for ids in part.column(ids_col):
+                    ids = ids.values.to_numpy() if ids.is_valid else np.zeros(0, np.int32)
+                    stream = [decoder.feed(ids[k:k + CHUNK]) for k in range(0, len(ids), CHUNK)]
+                    found.append(b"".join([*stream, decoder.finish()]))
+                yield _with(part, out, pa.array(found, pa.binary()))
+    return run
+
+
+def _texts(docs: DataFrame, text_col: str, out: str) -> tuple[DataFrame, StructType]:
+    """The rows with the text under the output's name, and the schema with ids there instead."""
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in (text_col, out)]
+    source = docs.select(*kept, F.col(f"`{text_col}`").cast("string").alias(out))
+    return source, source.select(*kept, F.expr("cast(null as array<int>)").alias(out)).schema
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out: str = "ids",
            chunks: str = CHUNKS) -> DataFrame:
     """Replace the text column by the ids (array of int) of the whole text.
@@ -368,45 +414,28 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out
     ``path`` is a rank file that every machine has at that place; ``pattern`` splits the text into the
     pieces that are merged separately; ``chunks`` splits it more coarsely, at borders of pieces.
     """
-    kept = [c for c in docs.columns if c not in (text_col, out)]
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").cast("string").alias(out))
-    schema = source.select(*kept, F.expr("cast(null as array<int>)").alias(out)).schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, table = _encoder(path, pattern, chunks)
-        for batch in batches:
-            for part in _sliced(batch):
-                packed = [b"".join(map(table.__getitem__, split(text))) if text else b"" for text in part.column(out).to_pylist()]
-                ends = np.cumsum([0, *[len(p) // 4 for p in packed]])
-                flat = pa.array(np.frombuffer(b"".join(packed), "<i4"))
-                yield _with(part, out, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat))
-
-    return source.mapInArrow(run, schema)
+    source, schema = _texts(docs, text_col, out)
+    return source.mapInArrow(_encoding(path, pattern, chunks, out), schema)
 
 
 def decode(docs: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """Add the decoded bytes of the ids, joined from the stream's whole code points."""
     kept = [c for c in docs.columns if c != out]
     source = docs.select(*[F.col(f"`{c}`") for c in kept])
-    schema = source.select(*kept, F.lit(b"").alias(out)).schema
+    return source.mapInArrow(_decoding(path, ids_col, out), source.select(*kept, F.lit(b"").alias(out)).schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = _decoder(path)
-        for batch in batches:
-            for part in _sliced(batch):
-                found = []
-                for ids in part.column(ids_col):
-                    ids = ids.values.to_numpy() if ids.is_valid else np.zeros(0, np.int32)
-                    stream = [decoder.feed(ids[k:k + CHUNK]) for k in range(0, len(ids), CHUNK)]
-                    found.append(b"".join([*stream, decoder.finish()]))
-                yield _with(part, out, pa.array(found, pa.binary()))
 
-    return source.mapInArrow(run, schema)
+def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out: str = "ids",
+               decoded: str = "decoded", chunks: str = CHUNKS) -> DataFrame:
+    """``encode``, and ``decode`` of the ids so made, in one pass: a task has one Python worker instead of two."""
+    source, schema = _texts(docs.drop(decoded) if text_col != decoded else docs, text_col, out)
+    encoding, decoding = _encoding(path, pattern, chunks, out), _decoding(path, out, decoded)
+    return source.mapInArrow(lambda batches: decoding(encoding(batches)), schema.add(decoded, "binary", False))
 
 
 def of_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Digests of every document's ids and of the bytes decoded from them."""
-    coded = encode(docs.select("doc_id", "text"), path, pattern)
+    coded = round_trip(docs.select("doc_id", "text"), path, pattern)
     joined = F.concat_ws(",", F.col("ids").cast("array<string>"))
-    return decode(coded, path).select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
-                                      F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                        F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
