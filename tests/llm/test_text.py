@@ -1,5 +1,6 @@
 """Operators on single texts against plain Python, the public libraries, and held-out labels."""
 
+import gc
 import hashlib
 import random
 import re
@@ -14,7 +15,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import by_id
-from tidemark.llm import bpe, html, language, packing, quality, queries, toxicity
+from tidemark.llm import bpe, html, language, near, packing, quality, queries, toxicity
 
 FOLDER = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -294,3 +295,28 @@ def test_words_that_are_their_own_part_are_kept_once():
     words.of([b"W7x.", b"w7x", b"Other"])
     kept = [key for t in vars(words).values() if isinstance(t, packing.Lately) for some in (t.newer, t.older) for key in some]
     assert sorted(kept) == sorted([*new, b"W7x.", b".", b"Other", b"other"])
+
+
+@pytest.mark.parametrize("later", ["near", "toxicity", "bpe"])
+def test_a_worker_gives_up_the_tables_of_packing_when_another_operator_runs(docs, monkeypatch, later):
+    def tables():
+        gc.collect()
+        return sum(isinstance(x, packing.WordIds) for x in gc.get_objects())
+
+    table, runs, before = docs((1, "some words here")).select("doc_id", "text"), [], tables()
+    monkeypatch.setattr(type(table), "mapInArrow", lambda self, run, schema: runs.append(run))
+    packing.pieces(table, queries.WORD_BPE, 1, 4096)
+    if later == "near":
+        near.features(table, "doc_id", "text")
+    elif later == "toxicity":
+        none = np.full(1 << toxicity.BITS, -1, np.int32)
+        toxicity.score(table, toxicity.Chain(none, [toxicity.Linear(np.zeros(k), 0.0) for k in range(2)]))
+    else:
+        bpe.encode(table, queries.BPE_RANKS, queries.BPE_PATTERN, out="text")
+    cut, other = ({"doc_id": [1], "__text": ["some words here"]}, {"id" if later == "near" else "doc_id": [1], "text": ["some words here"]})
+    for _ in range(2):  # the table is made anew for the next task of packing, and serves the one after it
+        for _ in range(2):
+            assert sum(len(b) for b in runs[0](iter([pa.RecordBatch.from_pydict(cut)]))) == 1
+            assert tables() == before + 1
+        assert sum(len(b) for b in runs[1](iter([pa.RecordBatch.from_pydict(other)]))) == 1
+        assert tables() == before

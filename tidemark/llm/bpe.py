@@ -23,7 +23,6 @@ import gc
 import re
 from array import array
 from collections.abc import Callable, Iterable, Iterator
-from functools import cache
 from itertools import accumulate
 from operator import getitem
 
@@ -33,6 +32,8 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.llm import arrays as A
+
 MAX_STATES = 100_000
 MAX_PAIRS = 400_000
 MAX_CHUNKS = 200_000
@@ -344,13 +345,11 @@ class Lifted(dict):
         return state
 
 
-@cache
 def _encoder(path: str, pattern: str, chunks: str):
     """One splitter and chunk table for each Python worker."""
     return re.compile(chunks).findall, Chunks(Transducer(read_ranks(path)), pattern)
 
 
-@cache
 def _decoder(path: str) -> Decoder:
     return Decoder({i: token for token, i in read_ranks(path).items()})
 
@@ -371,7 +370,7 @@ Batches = Iterator[pa.RecordBatch]
 def _encoding(path: str, pattern: str, chunks: str, out: str) -> Callable[[Batches], Batches]:
     """Replace the texts of a column by their ids, batch by batch."""
     def run(batches: Batches) -> Batches:
-        split, table = _encoder(path, pattern, chunks)
+        split, table = A.kept("bpe", _encoder, path, pattern, chunks)
         gc.disable()  # it would walk the tables, whose only cycles are those that _reset takes apart
         try:
             for batch in batches:
@@ -388,7 +387,7 @@ def _encoding(path: str, pattern: str, chunks: str, out: str) -> Callable[[Batch
 def _decoding(path: str, ids_col: str, out: str) -> Callable[[Batches], Batches]:
     """Add the bytes that a column of ids stands for, batch by batch."""
     def run(batches: Batches) -> Batches:
-        decoder = _decoder(path)
+        decoder = A.kept("bpe", _decoder, path)
         for batch in batches:
             for part in _sliced(batch):
                 found = []

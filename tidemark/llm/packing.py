@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Iterator
-from functools import cache
 from itertools import islice
 
 import numpy as np
@@ -30,7 +29,7 @@ FULL = 0.97
 MAX_WORDS = 400_000
 LONGEST_KEPT = 64
 TOGETHER = 256
-ROWS, TEXT = 2048, 1 << 22  # rows and bytes whose words are looked up at once
+ROWS, TEXT = 2048, 1 << 21  # rows and bytes whose words are looked up at once
 OUT = 256  # rows whose ids are given out at once
 SPECIAL, MARKS = b"<|", b".,;:!?"
 
@@ -133,11 +132,6 @@ class WordIds:
                 yield joined[begin:end]
 
 
-@cache
-def _word_ids(path: str) -> WordIds:
-    return WordIds(path)
-
-
 def pieces(docs: DataFrame, path: str, end_id: int, capacity: int, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """Each document's ids and the end token, cut after every ``capacity`` ids.
@@ -152,7 +146,7 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int, id_col: str =
     end, width = np.array([end_id], "<u4").tobytes(), 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _word_ids(path)
+        table = A.kept("packing", WordIds, path)
         for batch in batches:
             for first in range(0, batch.num_rows, ROWS):
                 part = batch.slice(first, ROWS)
@@ -170,6 +164,7 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int, id_col: str =
                         [part.column(0).take(pa.array(rows, pa.int64())), pa.array(number, pa.int32()), pa.array(start, pa.int64()),
                          pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
                         [id_col, "piece", "start", "length", "ids"])
+                A.give_back()
 
     return source.mapInArrow(run, schema)
 

@@ -180,6 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
     size = 1 << BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        A.release()
         tally = np.zeros((1 + len(named), size), np.int64)
         for batch in batches:
             labels = np.stack([batch.column(n).to_numpy() for n in named])
@@ -255,6 +256,7 @@ def score(docs: DataFrame, chain: Chain, categories: tuple[str, ...] = CATEGORIE
     schema = source.select(*[F.col(f"`{c}`") for c in kept], *[F.lit(0.0).alias(o) for o in outs]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        A.release()
         for batch in batches:
             for part, data, offsets in A.blocks(batch.column(text_col)):
                 rows, cols = kept_features(data, offsets, shared.value.column_of)
