@@ -109,6 +109,26 @@ def test_a_linked_family_gives_no_block_pairs(docs, monkeypatch):
     assert frames["blocks"].count() <= len(rows)  # 120 members in 20 blocks were 2,400 rows a node
 
 
+def test_small_groups_within_one_component_are_not_compared_again(docs, monkeypatch):
+    written = {}
+
+    def kept(df, name, keep=near.saved):
+        written[name] = keep(df, name)
+        return written[name]
+
+    monkeypatch.setattr(near, "saved", kept)
+
+    def text(tail):
+        return " ".join([*(f"w{i}" for i in range(200)), *tail])
+    # each of the first is like every other, so the forest links them all; the last ones meet them in some nodes, but are no candidates
+    rows = [(i, text([f"x{i}"])) for i in range(6)]
+    rows += [(10 + i, text([f"y{i}-{j}" for j in range(160)])) for i in range(40)]
+    got = by_id(near.near_groups(docs(*rows)))
+    assert {got[i]["component_id"] for i in range(6)} == {0} and all(got[10 + i]["kept"] for i in range(40))
+    assert not written["forest"].filter("more and a < 6").isEmpty()
+    assert {r["id"] for r in written["labelled"].collect()}.isdisjoint(range(6))
+
+
 def test_near_groups_of_the_table(spark):
     docs = table(spark, SMALL, "documents")
     got = by_id(near.of_documents(docs))
